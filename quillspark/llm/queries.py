@@ -6,6 +6,7 @@ from quillspark.llm.common import table
 from quillspark.llm.op03_pii import find_pii
 from quillspark.llm.op04_quality import RULES, STOP_WORDS, score_quality
 from quillspark.llm.op05_secrets import scan_secrets
+from quillspark.llm.op06_neardup import near_duplicates
 from quillspark.llm.op07_mixing import SCHEDULES, mix_documents
 from quillspark.llm.op09_knn import top_k
 
@@ -22,6 +23,10 @@ def op5_secrets(spark, sf_dir):
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op6_neardup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark, sf_dir):
     return mix_documents(table(spark, sf_dir, "documents"))
 
@@ -108,6 +113,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
+    "op6_neardup": op6_neardup,
     "op7_mixing": op7_mixing,
     "op9_knn": op9_knn,
 }
