@@ -9,12 +9,17 @@ from quillspark.llm.op05_secrets import scan_secrets
 from quillspark.llm.op06_neardup import near_duplicates
 from quillspark.llm.op07_mixing import SCHEDULES, mix_documents
 from quillspark.llm.op09_knn import top_k
+from quillspark.llm.op10_pst import score_documents
 
 
 def op3_pii(spark, sf_dir):
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op10_pst(spark, sf_dir):
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark, sf_dir):
     return score_quality(table(spark, sf_dir, "documents"))
 
@@ -116,5 +121,6 @@ QUERIES = {
     "op6_neardup": op6_neardup,
     "op7_mixing": op7_mixing,
     "op9_knn": op9_knn,
+    "op10_pst": op10_pst,
 }
 ORACLE = {"op4_quality": _quality_sql(), "op7_mixing": _MIXING_SQL, "op9_knn": _KNN_SQL}
