@@ -122,7 +122,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
         F.size("positions").cast("long").alias("copies"),
         F.floor(F.lit(1e6) * F.get("positions", F.lit(0))).alias("first_position"),
     )
-    return out.orderBy(F.col("first_position").asc_nulls_last())
+    return out.orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
 
 
 def mix_rows(docs: DataFrame) -> DataFrame:
