@@ -2,16 +2,31 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from quillspark.llm.common import table
+from quillspark.llm.op01_packing import pack
+from quillspark.llm.op02_sharding import shard_documents
 from quillspark.llm.op03_pii import find_pii
 from quillspark.llm.op04_quality import RULES, STOP_WORDS, score_quality
 from quillspark.llm.op05_secrets import scan_secrets
 from quillspark.llm.op06_neardup import near_duplicates
 from quillspark.llm.op07_mixing import SCHEDULES, mix_documents
+from quillspark.llm.op08_licenses import scan_licenses
 from quillspark.llm.op09_knn import top_k
 from quillspark.llm.op10_pst import score_documents
 
 
+def op1_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op2_sharding(spark, sf_dir):
+    """All documents as the compacted store gives them back: an exact round trip."""
+    rows = shard_documents(table(spark, sf_dir, "documents")).read()
+    return rows.select("doc_id", "lang", "source", "n_chars", F.md5("text").alias("text_md5"))
+
+
 def op3_pii(spark, sf_dir):
     return find_pii(table(spark, sf_dir, "documents"))
 
@@ -36,6 +51,10 @@ def op7_mixing(spark, sf_dir):
     return mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_licenses(spark, sf_dir):
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_knn(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings"))
 
@@ -115,12 +134,20 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_sharding": op2_sharding,
     "op3_pii": op3_pii,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
     "op6_neardup": op6_neardup,
     "op7_mixing": op7_mixing,
+    "op8_licenses": op8_licenses,
     "op9_knn": op9_knn,
     "op10_pst": op10_pst,
 }
-ORACLE = {"op4_quality": _quality_sql(), "op7_mixing": _MIXING_SQL, "op9_knn": _KNN_SQL}
+ORACLE = {
+    "op2_sharding": "SELECT doc_id, lang, source, n_chars, md5(text) AS text_md5 FROM documents",
+    "op4_quality": _quality_sql(),
+    "op7_mixing": _MIXING_SQL,
+    "op9_knn": _KNN_SQL,
+}
