@@ -12,14 +12,18 @@ about 0.8**3, so 16 sketches miss a pair with probability about 1e-5.
 
 Candidates: within a bucket the member that shares most buckets leads, and
 everyone is verified against the leader only; verified links give components.
-What remains are pairs of one bucket in different components, and these are
-all verified, the pairs that share most buckets first, in rounds that grow
-fourfold: a merge settles the other pairs between its components. So no link is lost, no bucket is
-capped, and a group of thousands of near copies costs about one verification
-each. Lengths that rule out 0.8 are never paired.
-
-Links carry document ids; the words of candidate texts are kept once, four
-bytes a word. Components are found by star contraction over tables.
+What remains are pairs of one bucket in different components. They are never
+written out: buckets that hold several components are cut into blocks of
+`BLOCK` members, and a task that gets two blocks finds their links itself. A
+text there needs four ninths of the pair's shingles in common with its
+partner, so one that has too few shingles which any other member holds is
+passed over at once; overlaps of the rest are counted, and what reaches the
+bound is aligned, unless links found so far already join the two. So no link is
+lost, no bucket is capped, and a group of thousands of near copies costs about
+one verification each.
+
+The words of candidate texts are kept once, four bytes a word. Components are
+found by star contraction over tables.
 
 Defined results: a null text counts as empty, and empty texts are copies of
 each other; texts of under five words have one shingle, all their words; rows
@@ -37,13 +41,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import materialize, mix, slices, text_or_empty, tokenize
 from quillspark.llm.graph import components
 
-WORDS, SIMILARITY, SKETCHES, PICKS = 5, 0.8, 16, 3
+WORDS, SIMILARITY, SKETCHES, PICKS, BLOCK = 5, 0.8, 16, 3, 1024
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * _MUL)
 _TOP = np.uint64(2**64 - 1)
@@ -204,6 +208,78 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["a", "b"])
 
 
+def links_within(roots: np.ndarray, sh: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+    """Links between texts of different roots that are enough to join all that belong together.
+
+    Every pair at or above SIMILARITY is linked, or was joined by earlier links.
+    """
+    g, sizes = len(roots), np.diff(ends)
+    parent = dict(zip(roots.tolist(), roots.tolist()))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    owner = np.repeat(np.arange(g), sizes)
+    _, place, df = np.unique(_labelled(sh, owner), return_inverse=True, return_counts=True)
+    shared = np.bincount(owner, df[place] > 1, g)
+    part, tiny = SIMILARITY / (1 + SIMILARITY), 1e-9
+    alive = np.flatnonzero(shared >= SIMILARITY * sizes - tiny)
+    alive = alive[sizes[alive] > 0]
+    postings, ptr = owner[np.argsort(place, kind="stable")], np.concatenate([[0], np.cumsum(df)])
+    now, out = roots.copy(), []
+    for at, i in enumerate(alive.tolist()):
+        cols = alive[at + 1 :]
+        cols = cols[(now[cols] != now[i]) & (np.minimum(shared[cols], shared[i]) >= part * (sizes[cols] + sizes[i]) - tiny)]
+        if not len(cols):
+            continue
+        own = place[ends[i] : ends[i + 1]]
+        own = own[df[own] > 1]
+        overlap = np.bincount(np.concatenate([postings[ptr[u] : ptr[u + 1]] for u in own.tolist()]), minlength=g)
+        cols = cols[overlap[cols] >= part * (sizes[cols] + sizes[i]) - tiny]
+        for j in cols[np.argsort(-overlap[cols], kind="stable")].tolist():
+            a, b = find(int(roots[i])), find(int(roots[j]))
+            if a != b and alignment(sh[ends[i] : ends[i + 1]], sh[ends[j] : ends[j + 1]]) >= SIMILARITY:
+                parent[max(a, b)] = min(a, b)
+                now[np.isin(now, [a, b])] = min(a, b)
+                out.append((i, j))
+    return out
+
+
+def _rest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each group (key, bi, bj); rows come sorted by group, and a group may span batches."""
+
+    def solve(rows: pa.Table) -> pa.RecordBatch:
+        nodes, roots = rows.column("node").to_numpy(), rows.column("root").to_numpy()
+        blobs = rows.column("words").to_pylist()
+        words = np.frombuffer(b"".join(blobs), "<u4")
+        at = np.concatenate([[0], np.cumsum([len(x) // 4 for x in blobs])])
+        found = links_within(roots, *shingles(words, at)) if len(set(roots.tolist())) > 1 else []
+        return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i, _ in found], pa.int64()), pa.array([nodes[j] for _, j in found], pa.int64())], names=["a", "b"])
+
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        cols = [batch.column(k).to_numpy() for k in range(3)]
+        change = np.zeros(max(batch.num_rows - 1, 0), bool)
+        for c in cols:
+            change |= c[1:] != c[:-1]
+        begins = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(begins, begins[1:]):
+            if begin == end:
+                continue
+            group = tuple(int(c[begin]) for c in cols)
+            if held and group != last:
+                yield solve(pa.Table.from_batches(held))
+                held = []
+            last = group
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield solve(pa.Table.from_batches(held))
+
+
 def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose texts align."""
     left = words.select(F.col("node").alias("b"), F.col("words").alias("wb"))
@@ -237,22 +313,15 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     links = materialize(_verified(stars, words), "links")
     roots = components(links)
     placed = materialize(members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
-    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    open_ = placed.join(mixed, "key")
-    other = open_.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("rb"))
-    pairs = open_.join(other, "key").where((F.col("root") < F.col("rb")) & fits(F.col("n"), F.col("bn"))).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("c"))
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "rest")
-    take = 1
-    while not pairs.isEmpty():
-        # The pairs between two components are tried from the likeliest on, more of them each round.
-        ra, rb = (roots.select(F.col("node").alias(c), F.col("root").alias("r" + c)) for c in "ab")
-        at = pairs.join(ra, "a", "left").join(rb, "b", "left").withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")}).where("ra != rb")
-        order = Window.partitionBy(F.least("ra", "rb"), F.greatest("ra", "rb")).orderBy(F.desc("c"), "a", "b")
-        at = materialize(at.withColumn("r", F.row_number().over(order)).select("a", "b", "c", "r"), "round")
-        links = materialize(links.union(_verified(at.where(F.col("r") <= take).select("a", "b"), words)), "links")
-        pairs, take, roots = at.where(F.col("r") > take).select("a", "b", "c"), take * 4, components(links)
+    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("held")).where("lo < hi")
+    blocks = F.ceil(F.col("held") / BLOCK).cast("int")
+    open_ = placed.join(mixed.select("key", blocks.alias("blocks")), "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    open_ = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(words, "node")
+    open_ = open_.select("key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "node", "root", "words")
+    open_ = open_.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
+    more = materialize(open_.mapInArrow(_rest_batches, "a long, b long").distinct(), "more")
+    if not more.isEmpty():
+        roots = components(links.union(more))
     return rows, texts.select("tkey", "node"), materialize(roots, "roots")
 
 
