@@ -191,7 +191,7 @@ def test_pii_model_on_unseen_lines():
     chosen = p >= np.array([model.cuts[k] for *_, k, _ in lines])
     y = np.array([v for *_, v in lines]) > 0
     assert (chosen & y).sum() / chosen.sum() > 0.95 and (chosen & y).sum() / y.sum() > 0.85
-    assert op3.select("reach me: jane [at] host [dot] com today", model)[1] == [("email", 10, 33)]
+    assert op3.select("reach me: jane [at] host [dot] com today", model)[1] == [("email", 10, 34)]
     assert op3.select("in version 12.04.2021 page 123-45-678 nothing", model)[1] == []
 
 
@@ -509,10 +509,10 @@ def test_base_score_and_better_model(spark, sf_dir):
 
 
 def test_distributions_sum_to_one():
-    tree = op10.Tree(100, 4, np.array([1, 2, 3, 4], np.uint64), np.array([40, 30, 20, 10]))
-    tree.pairs, tree.pair_n = np.array([1, 6]), np.array([30, 20])  # 1 -> 2 and 2 -> 3
+    tree = op10.Tree(1000, 4, np.array([1, 2, 3, 4], np.uint64), np.array([400, 300, 200, 100]))
+    tree.pairs, tree.pair_n = np.array([1, 6]), np.array([300, 150])  # 1 -> 2 and 2 -> 3
     tree.grow_one()
-    tree.triples, tree.triple_n = np.array([0 * 4 + 2]), np.array([18])  # 1 2 -> 3
+    tree.triples, tree.triple_n = np.array([0 * 4 + 2]), np.array([250])  # 1 2 -> 3
     tree.grow_two()
     assert (tree.one[:2] >= 0).all() and len(tree.two) == 1
     scale = tree.root(tree.counts).sum()  # the rest is for unseen tokens
