@@ -69,6 +69,9 @@ def _measured(docs: DataFrame) -> DataFrame:
         n >= 3,
         F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("p"))),
     ).otherwise(F.array().cast("array<struct<h:bigint,p:int>>"))
+    # The row number, always true, keeps filters on what follows above this projection;
+    # pushed below it, each use of the word array would split the text again.
+    windows = F.when(F.monotonically_increasing_id() >= 0, windows)
     stops = F.lit(None).cast("int")
     for code, words in sorted(STOP_WORDS.items()):
         stops = F.when(F.col(_T + "lang") == code, _count_in(w, words)).otherwise(stops)
@@ -131,10 +134,5 @@ def score_quality(docs: DataFrame, rules=RULES) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame, rules=RULES) -> DataFrame:
-    """The rows of docs that the rules keep, with docs' own columns.
-
-    The row number stops the filter from being pushed into the projections,
-    where each use of a word array would split the text again.
-    """
-    judged = _judged(docs, rules).withColumn(_T + "row", F.monotonically_increasing_id())
-    return judged.where(F.col(_T + "kept") & (F.col(_T + "row") >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs that the rules keep, with docs' own columns."""
+    return _judged(docs, rules).where(F.col(_T + "kept")).select(*[F.col(f"`{c}`") for c in docs.columns])
