@@ -13,6 +13,11 @@ from pyspark.sql import types as T
 BENGALI = r"\x{0980}-\x{09FF}"
 ALNUM = "A-Za-z0-9"
 
+#: Phrases that give a text away, matched in lower case and as they stand. Fixed values;
+#: the Bengali ones are in decomposed form (U+09AF U+09BC).
+BANNED_ANY_CASE = ["i would like to inquire", "i hope this message finds you well", "kindly", "furthermore", "please be advised"]
+BANNED_EXACT = ["অনুগ্রহপূর্বক", "এতদ্বারা", "উক্ত বিষয়ে", "মহোদয়", "সম্মানিত", "বিনীত অনুরোধ", "সদয় অবগতি", "প্রসঙ্গে জানানো যাচ্ছে", "স্মারকে"]
+
 
 @F.pandas_udf(T.StringType())
 def nfkc(texts: pd.Series) -> pd.Series:

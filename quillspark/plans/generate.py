@@ -24,9 +24,6 @@ from quillspark.plans import prompts
 from quillspark.sources.llm import Chat
 from quillspark.sources.store import Store
 
-#: Phrases that give a text away: matched in lower case, and as they stand.
-ANY_CASE = ["please be informed", "i am writing to", "kindly", "moreover", "to whom it may concern"]
-EXACT = ["বিনীত নিবেদন", "যথাবিহিত", "অত্র"]
 ATTEMPT = "struct<no:int,text:string,judge_raw:string,seed:bigint>"
 
 
@@ -36,7 +33,7 @@ def _gate(text: str, settings: Settings) -> tuple[bool, float]:
     whole = own + sum(c.isascii() and c.isalnum() for c in text)
     ratio = own / whole if whole else 0.0
     low = text.lower()
-    return bool(text.strip()) and ratio >= settings.min_script_ratio and not any(p in low for p in ANY_CASE) and not any(p in text for p in EXACT), ratio
+    return bool(text.strip()) and ratio >= settings.min_script_ratio and not any(p in low for p in tx.BANNED_ANY_CASE) and not any(p in text for p in tx.BANNED_EXACT), ratio
 
 
 def _draft_of(reply: str) -> str:
@@ -105,7 +102,7 @@ def attempt_stage(batch: DataFrame, chat: Chat, settings: Settings) -> DataFrame
 def judged_attempts(outcome: DataFrame, settings: Settings) -> DataFrame:
     """A row per attempt with its flags, computed by columns."""
     rows = outcome.where(F.size("tries") > 0).select("persona_id", F.explode("tries").alias("t")).select("persona_id", "t.*")
-    rows = rows.withColumn("gate", tx.quality_gate(F.col("text"), settings.min_script_ratio, ANY_CASE, EXACT)).withColumn("read", parsers.parse_quality(F.col("judge_raw")))
+    rows = rows.withColumn("gate", tx.quality_gate(F.col("text"), settings.min_script_ratio, tx.BANNED_ANY_CASE, tx.BANNED_EXACT)).withColumn("read", parsers.parse_quality(F.col("judge_raw")))
     skipped = F.struct(F.lit("SKIPPED").alias("verdict"), F.lit(False).alias("in_script"), F.array(F.lit("gate failed")).alias("reasons"))
     rows = rows.withColumn("judge", F.when(F.col("judge_raw").isNull(), skipped).otherwise(F.col("read")))
     return rows.withColumn("passed", F.col("gate.programmatic_pass") & (F.col("judge.verdict") == "PASS") & F.col("judge.in_script")).withColumn("ratio", F.col("gate.script_ratio"))
