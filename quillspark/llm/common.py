@@ -72,6 +72,11 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.sha2(F.concat_ws("\x1f", F.coalesce(F.col(id_col).cast("string"), F.lit("")), text_or_empty(text_col)), 256)
 
 
+def spread_key(key: str = "key", id_col: str = "doc_id") -> Column:
+    """A join key for rows without one: matches nothing, and spreads them by id instead of on one task."""
+    return F.coalesce(F.col(key), F.concat(F.lit("-"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+
+
 # --- Arrow batches ---------------------------------------------------------
 
 _SPACE = np.zeros(256, dtype=bool)

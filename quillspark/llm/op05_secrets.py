@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import materialize, row_key, text_or_empty
+from quillspark.llm.common import materialize, row_key, spread_key, text_or_empty
 
 #: Code points within which complementary parts link.
 SCOPE = 200
@@ -124,7 +124,7 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked of every row."""
     digest = materialize(_digest(docs), "secrets")
     linked = _linked(digest, scope)
-    out = digest.join(linked, "key", "left").withColumn("linked", F.coalesce("linked", F.array().cast("array<struct<s:int,r:int,e:int>>")))
+    out = digest.withColumn("key", spread_key()).join(linked, "key", "left").withColumn("linked", F.coalesce("linked", F.array().cast("array<struct<s:int,r:int,e:int>>")))
     count = lambda i: F.size(F.filter(F.col("base"), lambda x: x["r"] == i)).cast("long")
     return out.select(
         "doc_id",

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import materialize, row_key, text_or_empty
+from quillspark.llm.common import materialize, row_key, spread_key, text_or_empty
 
 WORDS, BANDS, CONTAINMENT, SHORTEST_WINDOW = 5, 32, 0.8, 32
 
@@ -117,6 +117,6 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> Dat
     family = F.regexp_extract("name", r"^(.*?)(?:-[0-9].*)?$", 1)
     matched = matched.withColumn("best", F.max("share").over(Window.partitionBy("key", family))).where(F.col("share") == F.col("best"))
     listed = matched.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("name", "share"))).alias("found"))
-    out = digest.join(listed, "key", "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<name:string,share:double>>")))
+    out = digest.withColumn("key", spread_key()).join(listed, "key", "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<name:string,share:double>>")))
     text = F.array_join(F.transform("found", lambda x: F.concat_ws(":", x["name"], F.floor(100 * x["share"]).cast("string"))), ",")
     return out.select("doc_id", F.size("found").cast("long").alias("n_licenses"), text.alias("licenses"))
