@@ -41,8 +41,9 @@ def script_ratio(text: Column, script: str = BENGALI, alnum: str = ALNUM) -> Col
 
     If the script is part of `alnum`, the denominator is just the latter.
     """
-    whole = F.regexp_count(text, F.lit(f"[{script}{alnum}]"))
-    own = F.regexp_count(text, F.lit(f"[{script}]"))
+    # What is left when the runs of all else are gone; counting matches would build a string for each.
+    whole = F.length(F.regexp_replace(text, f"[^{script}{alnum}]+", ""))
+    own = F.length(F.regexp_replace(text, f"[^{script}]+", ""))
     return F.when(whole > 0, own.cast("double") / whole).otherwise(F.lit(0.0))
 
 

@@ -15,6 +15,8 @@ from quillspark.functions import text as tx
 from quillspark.operators import attempts, dedup, memory
 from quillspark.plans import prompts, reports
 from quillspark.plans.domains import TOPIC_CATEGORY, Domains
+from quillspark.sources.store import read_csv, scratch, write_csv
+from quillspark.streaming.memory_stream import stream_memory
 
 _LATIN = "a-z"
 _PHRASES = ["the reading", "of the", "kindly"]
@@ -42,6 +44,13 @@ def _memory(spark, sf_dir) -> DataFrame:
     return docs.select(F.col("doc_id").alias("seq"), F.col("lang").alias("profession"), F.col("source").alias("region"), (F.col("n_chars") % 7).cast("string").alias("topic"), "text", score.alias("score"), tx.opener(F.col("text"), 2, normalize=False).alias("opener"))
 
 
+def _saved_memory(spark, sf_dir) -> DataFrame:
+    """The memory table, written once: its readers join it to itself several times."""
+    path = scratch(spark, "memory")
+    _memory(spark, sf_dir).drop("text").withColumn("text", F.col("opener")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def worst_cohorts(spark, sf_dir):
     least = 2 if "sf0.001" in sf_dir else 20
     return reports.worst_cohorts(_judged(spark, sf_dir), "source", least)
@@ -109,9 +118,9 @@ def overused_openers(spark, sf_dir):
 
 
 def tiered_exemplars(spark, sf_dir):
-    bank = _memory(spark, sf_dir).where(F.col("score") >= 1.4)
-    askers = _memory(spark, sf_dir).select(F.col("seq").alias("persona_id"), "profession", "region", "topic")
-    return memory.tiered_exemplars(askers, bank).select("persona_id", "rank", "tier", "seq")
+    known = _saved_memory(spark, sf_dir)
+    askers = known.select(F.col("seq").alias("persona_id"), "profession", "region", "topic")
+    return memory.tiered_exemplars(askers, known.where(F.col("score") >= 1.4)).select("persona_id", "rank", "tier", "seq")
 
 
 def near_duplicates(spark, sf_dir):
@@ -290,6 +299,30 @@ def generation_loop_stub(spark, sf_dir):
     return best.select("persona_id", "passed", "ratio", "no", "text")
 
 
+def csv_roundtrip(spark, sf_dir):
+    """All documents through a CSV mirror and back."""
+    docs = _t(spark, sf_dir, "documents")
+    path = scratch(spark, "csv")
+    write_csv(docs, path, docs.columns)
+    back = read_csv(spark, path, docs.schema)
+    return back.select("doc_id", F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
+
+
+def streaming_memory(spark, sf_dir):
+    """Documents as a stream, each micro-batch compared to what earlier ones stored."""
+    out, schema = scratch(spark, "stream"), _t(spark, sf_dir, "documents").schema
+    stream_memory(spark, sf_dir, schema, out, scratch(spark, "offsets"), glob="documents.parquet").awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "dedup_hash", "duplicate")
+
+
+def memory_context(spark, sf_dir):
+    """Openings to avoid for each document's cluster, as the prompt gets them."""
+    known = _saved_memory(spark, sf_dir)
+    asked = known.select(F.col("seq").alias("persona_id"), "profession", "region", "topic")
+    got = memory.context(asked, known)
+    return got.select("persona_id", F.array_join("avoid_openers", "|").alias("avoid"), F.size("exemplars").cast("long").alias("n_exemplars"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -297,7 +330,7 @@ QUERIES = {
         quality_summary, hash_duplicate_rate, exact_dup_flags, opener_diversity, overused_openers, tiered_exemplars, near_duplicates, near_duplicates_recent,
         mean_pairwise_cosine, script_ratio_gate, last_draft, strip_think, tag_litter, parse_verdicts, parse_quality_replies, quality_score, best_attempt,
         stratified_cells, weighted_choice, personas_exact, topic_counts, topic_rollup, topic_evenness, claim_batch, dead_letter, prompt_messages, idempotent_save,
-        orphan_questions, topic_similarity_pairs, share_of_total, generation_loop_stub,
+        orphan_questions, topic_similarity_pairs, share_of_total, generation_loop_stub, csv_roundtrip, streaming_memory, memory_context,
     )
 }
 
@@ -394,5 +427,8 @@ ORACLE = {
     "idempotent_save": "SELECT doc_id AS question_id, quality, toxic FROM labels WHERE doc_id % 3 <> 0",
     "orphan_questions": "SELECT o_orderkey, o_custkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_custkey % 7 <> 0)",
     "topic_similarity_pairs": "SELECT a.label, a.vec_id AS first, b.vec_id AS second, round(list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.3",
+    "csv_roundtrip": "SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM documents",
+    "streaming_memory": f"WITH h AS (SELECT doc_id, {_HASH} AS dedup_hash FROM documents) SELECT doc_id, dedup_hash, row_number() OVER (PARTITION BY dedup_hash ORDER BY doc_id) > 1 AS duplicate FROM h",
+    "memory_context": f"WITH m AS ({_MEMORY}), c AS (SELECT profession, region, opener, count(*) AS n, min(seq) AS f FROM m WHERE opener <> '' GROUP BY 1, 2, 3 HAVING count(*) >= 2), o AS (SELECT profession, region, string_agg(opener, '|' ORDER BY n DESC, f) AS avoid FROM (SELECT *, row_number() OVER (PARTITION BY profession, region ORDER BY n DESC, f) AS r FROM c) WHERE r <= 5 GROUP BY 1, 2) SELECT m.seq AS persona_id, coalesce(avoid, '') AS avoid, 3::BIGINT AS n_exemplars FROM m LEFT JOIN o USING (profession, region)",
     "share_of_total": "SELECT source, count(*) AS n, round(100.0::DOUBLE * count(*) / (sum(count(*)) OVER ())::BIGINT, 4) AS share_pct, round(100.0::DOUBLE * count(*) / max(count(*)) OVER (), 4) AS bar_pct FROM documents GROUP BY 1",
 }

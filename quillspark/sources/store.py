@@ -7,6 +7,9 @@ idempotent. All paths go through Spark's file systems.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +50,19 @@ class Store:
         return self._exists(f"{self.path(table)}/_run={run_id}/_batch={batch_id}/_SUCCESS")
 
 
+_TEMPORARY: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that spark.checkpoint.dir names; a temporary one where it is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        app = spark.sparkContext.applicationId
+        base = _TEMPORARY.setdefault(app, "") or "file://" + tempfile.mkdtemp(prefix="quillspark-")
+        _TEMPORARY[app] = base
+    return f"{base.rstrip('/')}/quillspark/{name}-{uuid.uuid4().hex}"
+
+
 def write_csv(df: DataFrame, path: str, headers: list[str], mode: str = "append") -> None:
     """Mirror of some columns; further columns of df are ignored."""
     flat = [F.col(h).cast("string").alias(h) if isinstance(df.schema[h].dataType, (T.ArrayType, T.StructType, T.MapType)) else F.col(h) for h in headers]
