@@ -44,7 +44,7 @@ def script_ratio(text: Column, script: str = BENGALI, alnum: str = ALNUM) -> Col
     # What is left when the runs of all else are gone; counting matches would build a string for each.
     whole = F.length(F.regexp_replace(text, f"[^{script}{alnum}]+", ""))
     own = F.length(F.regexp_replace(text, f"[^{script}]+", ""))
-    return F.when(whole > 0, own.cast("double") / whole).otherwise(F.lit(0.0))
+    return F.coalesce(own.cast("double") / F.nullif(whole, F.lit(0)), F.lit(0.0))
 
 
 def find_phrases(text: Column, any_case: list[str], exact: list[str]) -> Column:
@@ -59,7 +59,7 @@ def quality_gate(text: Column, least: float, any_case: list[str], exact: list[st
     ratio, banned = script_ratio(text, script, alnum), find_phrases(text, any_case, exact)
     empty = F.length(strip(text)) == 0
     shown = round_half_even(ratio, F.lit(3)) if python_round else F.round(ratio, 3)
-    return F.struct(shown.alias("script_ratio"), banned.alias("banned_phrases"), empty.alias("empty"), (~empty & (ratio >= least) & (F.size(banned) == 0)).alias("programmatic_pass"))
+    return F.struct(shown.alias("script_ratio"), banned.alias("banned_phrases"), empty.alias("empty"), ((ratio >= least) & ~empty & (F.size(banned) == 0)).alias("programmatic_pass"))
 
 
 def extract_tag(text: Column, tag: str) -> Column:
