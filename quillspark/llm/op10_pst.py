@@ -1,27 +1,27 @@
 """LM scoring (operator 10): a probabilistic suffix tree.
 
-Training counts every token, one end per document included. Contexts are the
-empty one, one token, or two. Candidates are the contexts and the next symbols
-whose share of all training tokens is at least `LEAST_SHARE` (and which occur twice); a context is
-retained if its next-symbol distribution diverges from its suffix's: count
-times Kullback-Leibler divergence of at least `DIVERGENCE` nats. (A two-token
-context needs its suffix retained.) Next-symbol counts are smoothed by the
-suffix's distribution, the root's by add-one:
+Training counts every token, one end per document included, then level by
+level the contexts of one, two, ... up to `MOST_DEPTH` tokens and what follows
+them. Contexts and followers that occur `LEAST_COUNT` times are candidates,
+whatever the size of the corpus. A context is retained if its next-symbol
+distribution diverges from that of its longest retained suffix: count times
+Kullback-Leibler divergence of at least `DIVERGENCE` nats. Next-symbol counts
+are smoothed by the suffix's distribution, the root's by add-one:
 
     p(w | s) = (c(s, w) + (c(s) - k(s) + BACKOFF) * p(w | suffix of s)) / (c(s) + BACKOFF)
 
 k(s) being the sum of the counts kept for s, so each distribution sums to one.
 A token is scored by the longest retained suffix of what precedes it.
 
-The share bounds the tree whatever the corpus: at most 1 / LEAST_SHARE tokens,
-pairs and triples each, so broadcasting it to tasks is bounded (about 16 bytes
-each). Vocabulary and counts are not bounded: all distinct tokens are counted
-by a shuffle, and for tokens too rare for the tree, whose probability is the
-product of back-off weights and the root's, the root's count comes by a join
-per (document, token). Frequent tokens never enter that join, so it has no hot
-keys. Tokens are told apart by 64-bit hashes of their bytes.
+Counts and probabilities stay in tables, keyed by 64-bit hashes. log p of a
+token is a sum over the grams that end at it and their contexts: the root's
+log p, log of the back-off weight of each retained context, and for each kept
+(s, w) log of p(w | s) / (weight of s * p(w | suffix of s)). So a text's score
+is the sum of one value per gram in it, found by a join per (document, gram).
+Frequent keys are broadcast (at most 1 / HOT_SHARE a level), which keeps hot
+keys out of the join. Bitmaps of fixed size spare lookups that would fail.
 
-Texts are read four times, in Arrow batches, and never shuffled.
+Texts are read once per level and twice more, in Arrow batches, and never shuffled.
 
 Defined results: a null text is one end token; a null doc_id hashes as the
 empty text, so it is a training row; repeated rows all count and each get
@@ -37,12 +37,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import hash_of, materialize, row_key, slices, text_or_empty, tokenize
+from quillspark.llm.common import hash_of, materialize, mix, row_key, slices, text_or_empty, tokenize
 
-LEAST_SHARE, LEAST_COUNT, DIVERGENCE, BACKOFF = 1e-6, 2, 8.0, 4.0
+LEAST_COUNT, DIVERGENCE, BACKOFF = 2, 8.0, 4.0
+#: Entries of this share of all tokens are broadcast instead of joined; results do not depend on it.
+HOT_SHARE = 1e-6
+#: Tokens in the longest contexts.
+MOST_DEPTH = 2
+#: Size of the bitmaps that spare tasks rows that would match nothing; results do not depend on it.
+FILTER_BITS = 27
 FOLDS, HELD = 7, 2
 _END = np.uint64(hash_of(b"\x00end of document"))
 _NONE = np.int64(-1)
+_MARK, _GOLD = np.uint64(1 << 63), np.uint64(0x9E3779B97F4A7C15)
 #: Distinct keys that a task gathers before it passes them on.
 _FLUSH = 400_000
 
@@ -102,7 +109,7 @@ def _find(values: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """The tree's arrays. Tokens are numbered by their place in `tokens` (sorted hashes)."""
+    """A tree of depth two as arrays, to compare with. Tokens are numbered by their place in `tokens` (sorted hashes)."""
 
     def __init__(self, total: int, vocabulary: int, tokens: np.ndarray, counts: np.ndarray):
         self.total, self.vocabulary, self.tokens, self.counts = total, vocabulary, tokens, counts
@@ -197,60 +204,189 @@ class Tree:
         return ids, np.log10(low), np.log10(p)
 
 
-def _counted(texts: DataFrame, key: str, keys_of) -> DataFrame:
-    """(key, n): how often `keys_of(hashes, offsets)` gives each key over all texts."""
+def _codes(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Keys of tokens: places (from 1) of frequent ones, which compress well, marked hashes of the others."""
+    at = _find(frequent, hashes)
+    return np.where(at >= 0, (at + 1).astype(np.uint64), hashes | _MARK)
+
+
+def _joined(before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Keys of grams, from those of a gram without its last and without its first token."""
+    return mix(mix(before + _GOLD) * _GOLD ^ last)
+
+
+def _grams(codes: np.ndarray, at: np.ndarray, depth: int) -> list[np.ndarray]:
+    """For 0 to depth: the keys of the grams of so many tokens more than one that end at each position, or 0."""
+    place = np.arange(len(codes)) - np.repeat(at[:-1], np.diff(at))
+    out = [codes]
+    for d in range(1, depth + 1):
+        gram = np.zeros(len(codes), np.uint64)
+        live = np.flatnonzero(place >= d)
+        gram[live] = _joined(out[-1][live - 1], out[-1][live])
+        out.append(gram)
+    return out
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return mix(keys * _GOLD + np.uint64(1)) >> np.uint64(64 - FILTER_BITS)
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size that holds all keys, and by chance some others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(key)
-        for batch in slices(batches):
-            hashes, at = _tokens(batch.column(0))
-            keys = keys_of(hashes, at)
-            if len(keys):
-                yield from counter.add(keys)
-        yield from counter.rest()
+        for batch in batches:
+            slot = np.unique(_slots(batch.column(0).to_numpy().view(np.uint64)))
+            word, first = np.unique(slot >> np.uint64(6), return_index=True)
+            if len(word):
+                bits = np.bitwise_or.reduceat(np.uint64(1) << (slot & np.uint64(63)), first)
+                yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int32)), pa.array(bits.view(np.int64))], names=["word", "bits"])
 
-    return texts.mapInArrow(run, f"{key} long, n long").groupBy(key).agg(F.sum("n").alias("n"))
+    got = keys.mapInArrow(run, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    return out
 
 
-def _bounded(counts: DataFrame, key: str, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of at least `least` tokens, sorted; at most 1 / LEAST_SHARE of them."""
-    got = counts.where(F.col("n") >= least).toArrow()
-    keys, n = got.column(key).to_numpy(), got.column("n").to_numpy()
-    order = np.argsort(keys, kind="stable")
-    return keys[order], n[order]
+def _holds(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = _slots(keys)
+    return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-def train(texts: DataFrame) -> tuple[Tree, DataFrame]:
-    """The tree over all texts, and the table of all token counts (token, n)."""
-    counts = materialize(_counted(texts, "token", lambda h, at: h.view(np.int64)), "tokens")
-    whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    total, vocabulary = int(whole["n"] or 0), int(whole["v"])
-    least = max(LEAST_COUNT, LEAST_SHARE * total)
-    tokens, n = _bounded(counts, "token", least)
-    order = np.argsort(tokens.view(np.uint64), kind="stable")
-    tree = Tree(total, vocabulary, tokens.view(np.uint64)[order], n[order])
+class _PairCounter:
+    """Sums counts of pairs of keys and hands them out in bounded batches."""
 
-    def pairs(hashes, at):
-        ids = _find(tree.tokens, hashes)
-        before = np.concatenate([[_NONE], ids[:-1]])
-        before[at[:-1]] = _NONE
-        live = (before >= 0) & (ids >= 0)
-        return before[live] * len(tree.tokens) + ids[live]
+    def __init__(self):
+        self.rows, self.size = [], 0
 
-    tree.pairs, tree.pair_n = _bounded(_counted(texts, "pair", pairs), "pair", least)
-    tree.grow_one()
+    def add(self, context: np.ndarray, low: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.rows.append(self._sum(context, low, np.ones(len(context), np.int64)))
+        self.size += len(self.rows[-1][0])
+        if self.size > 2 * _FLUSH:
+            self.rows = [self._sum(*map(np.concatenate, zip(*self.rows)))]
+            self.size = len(self.rows[0][0])
+            if self.size > _FLUSH:
+                yield from self.rest()
 
-    def triples(hashes, at):
-        ids = _find(tree.tokens, hashes)
-        pair = tree.pair_at(ids)
-        pair[at[:-1]] = _NONE
-        key = tree.triple_key(pair, ids)
-        key[at[:-1]] = _NONE
-        return key[key >= 0]
+    @staticmethod
+    def _sum(context, low, n):
+        order = np.argsort(_joined(context, low))
+        context, low, n = context[order], low[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (low[1:] != low[:-1])])) if len(n) else np.empty(0, np.int64)
+        return context[first], low[first], np.add.reduceat(n, first) if len(n) else n
 
-    tree.triples, tree.triple_n = _bounded(_counted(texts, "triple", triples), "triple", least)
-    tree.grow_two()
-    return tree, counts
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            context, low, n = self._sum(*map(np.concatenate, zip(*self.rows)))
+            self.rows, self.size = [], 0
+            for i in range(0, len(n), 100_000):
+                part = slice(i, i + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(context[part].view(np.int64)), pa.array(low[part].view(np.int64)), pa.array(n[part])], names=["context", "low", "n"])
+
+
+def _counted(texts: DataFrame) -> DataFrame:
+    """(token, n) of every token."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _Counter("token")
+        for batch in slices(batches):
+            hashes, _ = _tokens(batch.column(0))
+            if len(hashes):
+                yield from counter.add(hashes.view(np.int64))
+        yield from counter.rest()
+
+    return texts.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def _followed(texts: DataFrame, depth: int, frequent, opened, known) -> DataFrame:
+    """(context, low, n): counts of contexts of `depth` tokens (low 0) and of what follows them.
+
+    low is the key of the follower's gram without the context's first token.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _PairCounter()
+        for batch in slices(batches):
+            hashes, at = _tokens(batch.column(0))
+            grams = _grams(_codes(hashes, frequent.value), at, depth - 1)
+            live = np.flatnonzero(np.arange(len(hashes)) - np.repeat(at[:-1], np.diff(at)) >= depth)
+            if depth > 1:
+                live = live[_holds(opened.value, grams[-2][live - 1])]
+            context, low = grams[-1][live - 1], grams[-1][live]
+            seen = _holds(known.value, low)
+            if len(live):
+                yield from counter.add(np.concatenate([context, context[seen]]), np.concatenate([np.zeros(len(live), np.uint64), low[seen]]))
+        yield from counter.rest()
+
+    counts = texts.mapInArrow(run, "context long, low long, n long").groupBy("context", "low").agg(F.sum("n").alias("n"))
+    return counts.where(F.col("n") >= LEAST_COUNT)
+
+
+def _level(texts: DataFrame, depth: int, frequent, opened, known, lower: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Contexts of `depth` tokens (context, n, back, kept, open) and their grams (gram, n, p, gain, kept, open).
+
+    `lower` holds (gram, p) of the grams that are one token shorter. A context
+    stays open while a longer one could be retained: its followers' counts
+    bound those of every longer context, so the bound on gain is exact.
+    """
+    counts = materialize(_followed(texts, depth, frequent, opened, known), "followed")
+    after = counts.where("low <> 0").join(lower.select(F.col("gram").alias("low"), F.col("p").alias("lp")), "low")
+    whole = counts.where("low = 0").select("context", F.col("n").alias("whole"))
+    sums = after.groupBy("context").agg(F.sum("n").alias("k")).join(whole, "context")
+    back = (F.col("whole") - F.col("k") + BACKOFF) / (F.col("whole") + BACKOFF)
+    rows = after.join(sums, "context").withColumn("back", back).withColumn("own", F.col("n") / (F.col("whole") + BACKOFF) + F.col("back") * F.col("lp"))
+    rows = materialize(rows, "diverging")
+    most = lambda p: F.sum(F.col("n") * F.log((F.col("n") + BACKOFF * p) / (F.col("n") + BACKOFF) / p))
+    each = rows.groupBy("context").agg(F.sum(F.col("n") * F.log(F.col("own") / F.col("lp"))).alias("gain"), F.first("whole").alias("n"), F.first("k").alias("k"), F.first("back").alias("back"), most(F.col("own")).alias("m1"), most(F.col("lp")).alias("m0"))
+    kept = F.col("gain") + (F.col("n") - F.col("k")) * F.log("back") >= DIVERGENCE
+    each = each.withColumn("kept", kept).withColumn("open", F.when(F.col("kept"), F.col("m1")).otherwise(F.col("m0")) >= DIVERGENCE)
+    contexts = materialize(each.where("kept or open").select("context", "n", "back", "kept", "open"), "contexts")
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(_joined(a, b).view(np.int64)), *batch.columns[2:]], names=["gram", "n", "p", "gain", "kept", "open"])
+
+    grams = rows.select("context", "low", "n", "own", "lp", F.log10(F.col("own") / F.col("lp") / F.col("back")).alias("gain")).join(contexts.select("context", "kept", "open"), "context")
+    grams = grams.select("context", "low", "n", F.when(F.col("kept"), F.col("own")).otherwise(F.col("lp")).alias("p"), "gain", "kept", "open")
+    return contexts, materialize(grams.mapInArrow(named, "gram long, n long, p double, gain double, kept boolean, open boolean"), "grams")
+
+
+def train(texts: DataFrame) -> tuple[int, int, int, np.ndarray, DataFrame]:
+    """Token and vocabulary counts, depth, frequent tokens, and the model's table.
+
+    The table has (key, n, base, value, seen): adding the values of all grams
+    of a text gives its score (see the head of the file).
+    """
+    spark = texts.sparkSession
+    counts = materialize(_counted(texts), "tokens")
+    whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    total, vocabulary = int(whole["n"] or 0), int(whole["v"])
+    frequent = np.sort(counts.where(F.col("n") >= max(LEAST_COUNT, HOT_SHARE * total)).select("token").toArrow().column("token").to_numpy().view(np.uint64))
+    shared = spark.sparkContext.broadcast(frequent)
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code = _codes(batch.column(0).to_numpy().view(np.uint64), shared.value)
+            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), batch.column(1)], names=["gram", "n"])
+
+    root = counts.mapInArrow(coded, "gram long, n long").withColumn("p", (F.col("n") + 1.0) / F.lit(float(total + vocabulary + 1)))
+    none = F.lit(0.0)
+    table = root.select(F.col("gram").alias("key"), "n", F.log10("p").alias("base"), F.log10("p").alias("value"), F.lit(1).alias("seen"))
+    lower, opened, depth = root.where(F.col("n") >= LEAST_COUNT), None, 0
+    known = spark.sparkContext.broadcast(_filter(lower.select("gram")))
+    while depth < MOST_DEPTH and total:
+        contexts, grams = _level(texts, depth + 1, shared, opened, known, lower)
+        depth += 1
+        table = table.union(grams.where("kept").select("gram", "n", none, "gain", F.lit(0))).union(contexts.where("kept").select("context", "n", none, F.log10("back"), F.lit(0)))
+        bits = _filter(contexts.where("open").select("context"))
+        if not bits.any():
+            break
+        lower = grams.where("open").select("gram", "p")
+        opened, known = spark.sparkContext.broadcast(bits), spark.sparkContext.broadcast(_filter(lower.select("gram")))
+    # A gram's own row and its row as a context become one.
+    table = table.groupBy("key").agg(F.max("n").alias("n"), F.sum("base").alias("base"), F.sum("value").alias("value"), F.max("seen").alias("seen"))
+    return total, vocabulary, depth, frequent, materialize(table, "model")
 
 
 _SCORED = "key string, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<long>, times array<int>"
@@ -261,31 +397,43 @@ def score_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
     rows = docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), (fold == HELD).alias("held_out"), text_or_empty().alias("text"))
-    tree, counts = train(rows.where(~F.col("held_out")).select("text"))
-    shared = spark.sparkContext.broadcast(tree)  # at most 3 / LEAST_SHARE entries
+    total, vocabulary, depth, frequent, model = train(rows.where(~F.col("held_out")).select("text"))
+    hot = model.where(F.col("n") >= max(LEAST_COUNT, HOT_SHARE * total)).toArrow()  # bounded by the share
+    keys = hot.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    shared = spark.sparkContext.broadcast((frequent, keys[order], *(hot.column(c).to_numpy()[order] for c in ("base", "value", "seen")), _filter(model.select("key"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
+        frequent, keys, base_of, value_of, seen_of, bitmap = shared.value
         for batch in slices(batches):
             hashes, at = _tokens(batch.column(3))
-            ids, base, score = tree.score(hashes, at[:-1])
-            rare = np.flatnonzero(ids < 0)
-            doc = np.searchsorted(at, rare, side="right") - 1
-            order = np.lexsort((hashes[rare], doc))
-            doc, token = doc[order], hashes[rare][order]
+            sums, rare, docs = np.zeros((3, len(hashes))), [], []
+            of = np.repeat(np.arange(batch.num_rows), np.diff(at))
+            for gram in _grams(_codes(hashes, frequent), at, depth):
+                place = _find(keys, gram)
+                found = np.flatnonzero(place >= 0)
+                for i, column in enumerate((base_of, value_of, seen_of)):
+                    sums[i, found] += column[place[found]]
+                left = np.flatnonzero((place < 0) & (gram != 0))
+                left = left[_holds(bitmap, gram[left])]
+                rare.append(gram[left])
+                docs.append(of[left])
+            token, doc = np.concatenate(rare), np.concatenate(docs)
+            order = np.lexsort((token, doc))
+            doc, token = doc[order], token[order]
             new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (token[1:] != token[:-1])])) if len(doc) else np.empty(0, np.int64)
             times = np.diff(np.append(new, len(doc))).astype(np.int32)
             ends = np.searchsorted(doc[new], np.arange(batch.num_rows + 1)).astype(np.int32)
-            n = np.diff(at)
+            base, score, seen = np.add.reduceat(sums, at[:-1], axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     batch.column(2),
-                    pa.array(n),
-                    pa.array(np.add.reduceat((ids >= 0).astype(np.int64), at[:-1])),
-                    pa.array(np.add.reduceat(base, at[:-1])),
-                    pa.array(np.add.reduceat(score, at[:-1])),
+                    pa.array(np.diff(at)),
+                    pa.array(seen.astype(np.int64)),
+                    pa.array(base),
+                    pa.array(score),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(token[new].view(np.int64))),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(times)),
                 ],
@@ -295,14 +443,16 @@ def score_documents(docs: DataFrame) -> DataFrame:
     scored = materialize(rows.mapInArrow(run, _SCORED), "scored")
     # A row is told by its id and a hash of its key: repeated rows agree in both, and share sums.
     at = {"d": F.coalesce("doc_id", F.lit(0)), "h": F.hash("key")}
-    tail = scored.withColumns(at).select("d", "h", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("d", "h", F.col("x.rare").alias("token"), F.col("x.times").alias("t"))
-    tail = tail.join(counts, "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    whole = float(tree.total + tree.vocabulary + 1)
-    sums = tail.groupBy("d", "h").agg(F.sum(F.col("t") * F.log10((F.col("n") + 1.0) / F.lit(whole))).alias("rest"), F.sum(F.when(F.col("n") > 0, F.col("t")).otherwise(0)).alias("also"))
+    tail = scored.withColumns(at).select("d", "h", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("d", "h", F.col("x.rare").alias("key"), F.col("x.times").alias("t"))
+    tail = tail.join(model.select("key", "base", "value", "seen"), "key")
+    total_of = lambda c: F.sum(F.col("t") * F.col(c))
+    sums = tail.groupBy("d", "h").agg(total_of("base").alias("b"), total_of("value").alias("s"), total_of("seen").alias("also"))
     bare = scored.withColumns(at).drop("rare", "times", "key")
     twins = scored.withColumns(at).groupBy("d", "h").agg(F.count("*").alias("twins"))
-    out = bare.join(sums.join(twins, ["d", "h"]), ["d", "h"], "left").withColumns({"rest": F.col("rest") / F.col("twins"), "also": (F.col("also") / F.col("twins")).cast("long")})
-    rest = F.coalesce("rest", F.lit(0.0))
+    share = {c: F.coalesce(F.col(c) / F.col("twins"), F.lit(0.0)) for c in ("b", "s", "also")}
+    out = bare.join(sums.join(twins, ["d", "h"]), ["d", "h"], "left").withColumns(share)
+    out = out.withColumn("n_known", F.col("n_known") + F.round("also").cast("long"))
+    unseen = (F.col("n_tokens") - F.col("n_known")) * F.lit(-float(np.log10(total + vocabulary + 1)))
     return out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("also", F.lit(0))).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"), (F.col("base") + rest).alias("base_score"), (F.col("score") + rest).alias("score")
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.col("b") + unseen).alias("base_score"), (F.col("score") + F.col("s") + unseen).alias("score")
     )

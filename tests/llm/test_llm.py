@@ -560,3 +560,44 @@ def test_pipeline_stages(spark, sf_dir):
     packed = pipe.packing(spark, mixed, sf_dir)
     words = lambda df: sum(len(WORD.findall(r["text"])) for r in df.collect())
     assert packed.agg({"n_words": "sum"}).first()[0] == words(mixed)
+
+
+def plain_tree(texts, depth):
+    """Scores in log10 of a text under a suffix tree with absolute least counts, by brute force."""
+    docs = [[*t.split(), None] for t in texts]
+    grams = Counter(tuple(d[i : i + n]) for d in docs for n in range(1, depth + 2) for i in range(len(d) - n + 1))
+    follow = {}
+    for g, c in grams.items():
+        if len(g) > 1 and c >= 2:
+            follow.setdefault(g[:-1], {})[g[-1]] = c
+    total, size = sum(map(len, docs)), sum(len(g) == 1 for g in grams)
+    kept = set()
+
+    def p(s, w):
+        if not s:
+            return (grams[(w,)] + 1) / (total + size + 1)
+        low = p(s[1:], w)
+        if s not in kept:
+            return low
+        n, k = grams[s], sum(follow[s].values())
+        return (follow[s].get(w, 0) + (n - k + 4) * low) / (n + 4)
+
+    for s in sorted(follow, key=len):
+        n, k = grams[s], sum(follow[s].values())
+        gain = sum(c * math.log((c + (n - k + 4) * p(s[1:], w)) / (n + 4) / p(s[1:], w)) for w, c in follow[s].items())
+        if gain + (n - k) * math.log((n - k + 4) / (n + 4)) >= 8:
+            kept.add(s)
+    return lambda t: sum(math.log10(p(tuple(d[max(0, i - depth) : i]), w)) for d in [[*t.split(), None]] for i, w in enumerate(d)), kept
+
+
+def test_tree_matches_brute_force_whatever_is_frequent(spark, monkeypatch):
+    rng = random.Random(15)
+    words = PROSE.split()
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 40))) + (" one two three four five six" if i % 3 == 0 else f" u{i}") for i in range(90)]
+    fit = [t for i, t in enumerate(texts, 1) if zlib.crc32(str(i).encode()) % 7 != 2]
+    score, kept = plain_tree(fit, op10.MOST_DEPTH)
+    assert max(map(len, kept)) >= 2 or op10.MOST_DEPTH < 2
+    for share in (1e-6, 0.01, 1.0):  # 1.0: nothing is broadcast; a cut by share would change scores
+        monkeypatch.setattr(op10, "HOT_SHARE", share)
+        got = {r["doc_id"]: r["score"] for r in op10.score_documents(spark.createDataFrame(rows_of(*texts), SCHEMA)).collect()}
+        assert all(got[i] == pytest.approx(score(t)) for i, t in enumerate(texts, 1))
