@@ -2,12 +2,13 @@
 
 Strong forms (assignments, access identifiers, long hex) are reported as they
 stand. Weak forms (user names, short passwords, mixed-case tokens, endpoints)
-are noise alone: one is reported only when a complementary part begins or ends
-within `SCOPE` code points of it. That test is an interval join, done as an
+are noise alone: one is reported only when a complementary part overlaps it or
+lies within `SCOPE` code points of it. That test is an interval join, done as an
 equi-join on bins of SCOPE code points: each bin holds one row per role with
-the first start and the last end in it, and a candidate probes the two bins on
-either side. A bin spans SCOPE code points, so no join key can be hot, no pair
-of parts is ever made, and only rows of parts (never texts) are shuffled.
+the first start and the last end in it, and one for the parts that cover any of
+it. Parts that share a bin are near; a candidate also probes the bins on either
+side. A bin spans SCOPE code points, so no join key can be hot, no pair of parts
+is ever made, and only rows of parts (never texts) are shuffled.
 
 Built-in functions only. Positions come from splitting a text by the pattern:
 the pieces' and matches' lengths add up to offsets.
@@ -37,7 +38,7 @@ KINDS = ("assign", "access", "hex", "ident", "key", "endpoint")
 WEAK = (
     ("ident", r"(?i)(user|login|client|account|access)", r"""(?<![A-Za-z])(?i:user(?:_?name)?|login|client_?id|account(?:_?id)?|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]{3,}"""),
     ("key", r"(?i)(pass|pwd|key|auth|cred|secret|token)", r"""(?i:pass(?:word|wd|phrase)?|pwd|auth|credential|secret|token|(?:api|private|signing)_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=@!$%^&*-]{4,}"""),
-    ("key", r"[A-Za-z0-9+/]{20}", r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}"),
+    ("key", r"[A-Za-z0-9+/_-]{20}", r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}"),
     ("endpoint", r"(://|(?i)host|endpoint)", r"""(?:(?<![A-Za-z])(?:https?|ftps?|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqps?|s3)(?::[a-z]+)?://[^\x20\x09-\x0D"'<>]+|(?<![A-Za-z])(?i:host(?:name)?|endpoint)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{4,})"""),
 )
 #: The roles that parts of a kind play, and what completes each role.
@@ -97,19 +98,19 @@ def _linked(digest: DataFrame, scope: int) -> DataFrame:
     base_of = F.transform(F.col("base"), lambda x: F.struct(x["s"].alias("s"), x["r"].alias("r"), x["e"].alias("e"), F.lit(False).alias("weak")))
     parts = held.select("key", F.explode(F.concat(weak_of, base_of)).alias("p")).select("key", "p.*", role.alias("role"))
     at = lambda c: F.floor(F.col(c) / scope)
-    edges = parts.select(
-        "key", "role", F.explode(F.array(F.struct(F.lit("end").alias("side"), at("e").alias("bin"), F.col("e").alias("at")), F.struct(F.lit("start").alias("side"), at("s").alias("bin"), F.col("s").alias("at")))).alias("x")
-    ).select("key", "role", "x.*")
+    place = lambda side, b, c: F.struct(F.lit(side).alias("side"), b.alias("bin"), F.col(c).alias("at"))
+    over = F.transform(F.sequence(at("s"), at("e")), lambda b: place("over", b, "s"))
+    edges = parts.select("key", "role", F.explode(F.concat(F.array(place("end", at("e"), "e"), place("start", at("s"), "s")), over)).alias("x")).select("key", "role", "x.*")
     bins = edges.groupBy("key", "bin", "side", "role").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     needs = F.create_map(*[y for r, c in COMPLETES.items() for y in (F.lit(r), F.array(*[F.lit(z) for z in c]))])
     probe = lambda side, b: F.struct(F.lit(side).alias("side"), b.alias("bin"))
     probes = (
         parts.where("weak")
-        .withColumn("q", F.explode(F.array(probe("end", at("s") - 1), probe("end", at("s")), probe("start", at("e")), probe("start", at("e") + 1))))
+        .withColumn("q", F.explode(F.concat(F.array(probe("end", at("s") - 1), probe("start", at("e") + 1)), F.transform(F.sequence(at("s"), at("e")), lambda b: probe("over", b)))))
         .withColumn("needed", F.explode(F.element_at(needs, F.col("role"))))
         .select("key", "s", "r", "e", "q.side", "q.bin", F.col("needed").alias("role"))
     )
-    near = F.when(F.col("side") == "end", F.col("last") >= F.col("s") - scope).otherwise(F.col("first") <= F.col("e") + scope)
+    near = F.when(F.col("side") == "end", F.col("last") >= F.col("s") - scope).when(F.col("side") == "start", F.col("first") <= F.col("e") + scope).otherwise(True)
     hits = probes.join(bins, ["key", "bin", "side", "role"]).where(near)
     return hits.groupBy("key").agg(F.collect_set(F.struct("s", "r", "e")).alias("linked"))
 

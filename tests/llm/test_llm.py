@@ -289,6 +289,19 @@ def test_interval_join_matches_brute_force(spark):
         assert set(got[i].split(",")) == {f"{k}:{b}:{e}" for b, k, e, _ in keep} | ({""} if not keep else set())
 
 
+def test_secrets_match_unguarded_patterns_and_interval_distance(spark):
+    rng = random.Random(18)
+    parts = ["user: abc", "pwd = abcd", "host: db.example.com", "Zk3_Qp9-Lm4Tx7_Rb2Wc8-Nd5Vf6_Hj1Gs0-Ya", " some filler words here" * 3, "https://h.io/" + "x" * 90 + "?pwd=abcd," + "y" * 90]
+    texts = ["host: db.example.com " + parts[3], "https://h.io/" + "x" * 90 + "?pwd=abcd," + "y" * 90] + [" ".join(rng.choice(parts) for _ in range(8)) for _ in range(25)]
+    got = {r["doc_id"]: r for r in op5.scan_secrets(spark.createDataFrame(rows_of(*texts), SCHEMA), scope=30).collect()}
+    assert got[1]["n_linked"] == got[2]["n_linked"] == 2
+    for i, text in enumerate(texts, 1):
+        found = [(m.start(), kind, m.end()) for kind, _, pattern in op5.WEAK for m in re.finditer(pattern, text)]
+        near = lambda p, q: q[0] <= p[2] + 30 and p[0] <= q[2] + 30
+        keep = {p for p in found if any(op5.ROLE[q[1]] in op5.COMPLETES[op5.ROLE[p[1]]] and near(p, q) for q in found)}
+        assert set(got[i]["spans"].split(",")) == {f"{k}:{b}:{e}" for b, k, e in keep} | ({""} if not keep else set())
+
+
 def test_redaction(spark):
     texts = ["a token = abcdefgh1234 b", "clean", 'x token = "1eb9c654e721b4f812088970e66a6345cee33dd6" y']
     got = {r["doc_id"]: r["text"] for r in op5.redact_secrets(spark.createDataFrame(rows_of(*texts), SCHEMA)).collect()}
