@@ -114,7 +114,10 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     if not any(s["nq"] for s in summary):
         return spark.createDataFrame([], schema)
     blocks = -(-sum(s["nq"] for s in summary) // BLOCK)
-    plan = _needed(summary, centre, k)
+    copies = cells.where(asked).groupBy("vec_id", "cell").agg(F.count("*").alias("n"))
+    most = {r["cell"]: r["n"] for r in copies.groupBy("cell").agg(F.max("n").alias("n")).collect()}  # one row per pivot
+    top = copies.groupBy("vec_id").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+    plan = _needed(summary, centre, k, most, top)
     places = spark.createDataFrame(plan, "qcell int, cell int, chunks int")
     sizes = spark.createDataFrame([(s["cell"], -(-s["n"] // CHUNK)) for s in summary], "cell int, chunks int")
     block = F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(blocks)).cast("int")
@@ -147,18 +150,23 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _needed(summary, centre: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query cell, data cell, chunks of the data cell) that the bounds cannot rule out."""
+def _needed(summary, centre: np.ndarray, k: int, most: dict[int, int] | None = None, top: int = 1) -> list[tuple[int, int, int]]:
+    """(query cell, data cell, chunks of the data cell) that the bounds cannot rule out.
+
+    A query never meets its own id, so a floor rests on the rows that are left
+    without any one query's: `top` rows have the same query id at most, and
+    `most` of them in each cell.
+    """
     norm, dots = np.sqrt((centre * centre).sum(1)), centre @ centre.T
     out = []
     for j in (s for s in summary if s["nq"]):
         wide = [j["rq"] * norm[s["cell"]] + j["nrm"] * s["radius"] for s in summary]
         slack = 1e-6 * (1 + max(wide) + np.abs(dots).max())
-        low = sorted(((dots[j["cell"], s["cell"]] - w - slack, s["n"]) for s, w in zip(summary, wide)), reverse=True)
-        floor, seen = -np.inf, 0
-        for bound, n in low:
-            seen += n
-            if seen >= k + 1:  # one of them may be the query itself
+        low = sorted(((dots[j["cell"], s["cell"]] - w - slack, s["n"], top if most is None else most.get(s["cell"], 0)) for s, w in zip(summary, wide)), reverse=True)
+        floor, seen, own = -np.inf, 0, 0
+        for bound, n, same in low:
+            seen, own = seen + n, own + same
+            if seen - min(own, top) >= k:
                 floor = bound
                 break
         out += [(j["cell"], s["cell"], -(-s["n"] // CHUNK)) for s, w in zip(summary, wide) if dots[j["cell"], s["cell"]] + w + slack >= floor]

@@ -614,3 +614,9 @@ def test_tree_matches_brute_force_whatever_is_frequent(spark, monkeypatch):
         monkeypatch.setattr(op10, "HOT_SHARE", share)
         got = {r["doc_id"]: r["score"] for r in op10.score_documents(spark.createDataFrame(rows_of(*texts), SCHEMA)).collect()}
         assert all(got[i] == pytest.approx(score(t)) for i, t in enumerate(texts, 1))
+
+
+def test_top_k_of_a_query_with_many_copies(spark):
+    rows = [(0, [10.0, 0.0])] * 6 + [(i, [-1.0, 0.0]) for i in range(1, 31)]
+    got = op9.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(tuple(r) for r in got) == [(0, i, i, -2560 * 256) for i in range(1, 6)]
