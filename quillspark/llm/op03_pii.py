@@ -8,8 +8,8 @@ overlap. Candidates that meet a base form (see `base_spans`) always stay.
 The trees are fitted on `TRAIN_ROWS` labelled lines written from a seed
 (`labelled_lines`), two thirds for the trees and one third for calibration;
 that bound is the only sample here. Scoring is one pass in Arrow batches over
-whole texts, without a shuffle. Rows that hold no digit, at sign or spelled-out
-address are settled by one vectorised test. All patterns are anchored so that
+whole texts, without a shuffle. Rows that hold no digit, at sign, spelled-out
+address or hexadecimal groups are settled by one vectorised test. All patterns are anchored so that
 long runs cost linear time.
 
 Defined results: a null text counts as empty; a null doc_id is kept as null;
@@ -45,7 +45,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_MAY_HOLD = r"[0-9@]|[\[(]at[\])]| at [A-Za-z0-9-]+ dot "
+_MAY_HOLD = r"[0-9@]|[\[(]at[\])]| at  ?[A-Za-z0-9-]+ ?(?:\[dot\]|\(dot\)| dot )|[A-Fa-f]:[A-Fa-f]{1,4}:"
 #: Generators of further candidates: kind, pattern.
 _MORE = (
     ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)| dot ) ?[A-Za-z]{2,24}){1,3}")),

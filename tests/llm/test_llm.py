@@ -620,3 +620,22 @@ def test_top_k_of_a_query_with_many_copies(spark):
     rows = [(0, [10.0, 0.0])] * 6 + [(i, [-1.0, 0.0]) for i in range(1, 31)]
     got = op9.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     assert sorted(tuple(r) for r in got) == [(0, i, i, -2560 * 256) for i in range(1, 6)]
+
+
+PII_BITS = ["jane", " at ", "[at]", " ", "example", " dot ", "[dot]", "(dot)", "com", "fe:", "cafe:", "::", "ab", "7", "@", "-"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PII_BITS), max_size=10))
+def test_pii_prefilter_admits_all_candidates(bits):
+    for text in ("".join(bits), "write to jane at example [dot] com", "jane at example(dot)com", "jane at  example  dot com", "at fe:cafe:ab now"):
+        if op3.base_spans(text) or op3.candidates(text):
+            assert re.search(op3._MAY_HOLD, text), text
+
+
+def test_pii_rows_agree_with_unfiltered_scans(spark):
+    model = op3.train()
+    texts = ["write to jane at example [dot] com", "jane at example(dot)com", "at fe:cafe:ab now", "nothing here"]
+    got = {r["doc_id"]: r["spans"] for r in op3.find_pii(spark.createDataFrame(rows_of(*texts), SCHEMA), model).collect()}
+    assert got == {i: op3._joined(sum(op3.select(t, model), [])) for i, t in enumerate(texts, 1)}
+    assert got[1]
