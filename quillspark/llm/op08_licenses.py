@@ -3,7 +3,7 @@
 Shingles are five words, lower-cased and bare of punctuation. A template of n
 shingles is searched in windows of W = 2 * 2**ceil(log2 n) shingles (32 at
 least), half overlapping, so some window holds the whole passage. A window's
-signature is its `BANDS` least shingle hashes (bottom-k MinHash), each a band;
+signature is its `BANDS` least distinct shingle hashes (bottom-k MinHash), each a band;
 a template is retrieved when a band of the window is a band of the template.
 With at least n > W/4 and four fifths of the template present, the Jaccard
 similarity of window and template is J >= 0.19, and all bands miss with
@@ -90,7 +90,7 @@ def _hits(words: Column, hashes: Column, window: int, bands: list[int]) -> Colum
     if window <= BANDS:  # the signature of such a window is all its shingles
         signature = lambda s: F.slice(hashes, s + 1, window)
     else:
-        signature = lambda s: F.slice(F.sort_array(F.slice(hashes, s + 1, window)), 1, BANDS)
+        signature = lambda s: F.slice(F.sort_array(F.array_distinct(F.slice(hashes, s + 1, window))), 1, BANDS)
     found = F.flatten(F.transform(starts, lambda s: F.transform(F.filter(signature(s), lambda h: h.isin(bands)), lambda h: hit(s, h))))
     return F.when(F.size(hashes) > 0, found).otherwise(none)
 

@@ -639,3 +639,10 @@ def test_pii_rows_agree_with_unfiltered_scans(spark):
     got = {r["doc_id"]: r["spans"] for r in op3.find_pii(spark.createDataFrame(rows_of(*texts), SCHEMA), model).collect()}
     assert got == {i: op3._joined(sum(op3.select(t, model), [])) for i, t in enumerate(texts, 1)}
     assert got[1]
+
+
+def test_license_beside_a_repeated_word(spark):
+    words = spark.createDataFrame([(f"q{i}",) for i in range(2000)], "w string").selectExpr("w", "xxhash64(w, w, w, w, w) AS h").collect()
+    word = min(words, key=lambda r: r["h"])["w"]  # its shingle comes before all of the template's
+    text = f"{word} " * 200 + op8.TEMPLATES["BSD-3-Clause"] + f" {word}" * 200
+    assert op8.scan_licenses(spark.createDataFrame(rows_of(text), SCHEMA)).first()["licenses"] == "BSD-3-Clause:100"
