@@ -51,8 +51,8 @@ def _saved_memory(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def worst_cohorts(spark, sf_dir):
-    least = 2 if "sf0.001" in sf_dir else 20
+def worst_cohorts(spark, sf_dir, least=20):
+    """The worst sources of at least `least` judged documents, as in the SQL."""
     return reports.worst_cohorts(_judged(spark, sf_dir), "source", least)
 
 

@@ -33,3 +33,7 @@ def test_oracle(spark, name):
     norm = lambda v: round(v, 9) if isinstance(v, float) else v
     want = sorted(repr([norm(dict(zip(names, r))[c]) for c in order]) for r in cur.fetchall())
     assert sorted(repr([norm(r[c]) for c in order]) for r in df.collect()) == want
+
+
+def test_least_cohort_does_not_depend_on_the_folder(spark):
+    assert all(r["n"] >= 20 for r in QUERIES["worst_cohorts"](spark, "/root/testdata/sf0.001").collect())
