@@ -7,6 +7,8 @@ the operators that run in Arrow batches.
 
 from __future__ import annotations
 
+import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -26,12 +28,16 @@ _SCRATCH: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share, as spark.checkpoint.dir names it.
 
-    Where the setting is absent (tests on one machine) a temporary folder is
-    made once for the application.
+    Where the setting is absent a temporary folder is made once for the
+    application, but only in local mode: on a cluster, executors would each
+    write to a disk of their own, so that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
     app = spark.sparkContext.applicationId
     if app not in _SCRATCH:
         _SCRATCH[app] = "file://" + tempfile.mkdtemp(prefix="quillspark-")
@@ -54,6 +60,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Remove tables that `materialize` wrote, once nothing is to be computed from them again."""
+    for df in tables:
+        for file in df.inputFiles()[:1]:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver drop plans that nothing refers to, and with them the shuffle files of finished steps.
+
+    Otherwise these stay until the driver's memory runs short, which a job of many steps on much disk may never see.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def free_prefix(columns: list[str], wanted: str) -> str:
+    """A prefix with which none of the columns begins, so that temporary names clash with none."""
+    while any(c.lower().startswith(wanted) for c in columns):
+        wanted = "_" + wanted
+    return wanted
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -67,14 +97,10 @@ def words_array(text: Column) -> Column:
     return F.array_remove(F.split(text, SEPARATORS), "")
 
 
-def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """Digest of id and text: rows that agree in both get the same results."""
-    return F.sha2(F.concat_ws("\x1f", F.coalesce(F.col(id_col).cast("string"), F.lit("")), text_or_empty(text_col)), 256)
-
-
-def spread_key(key: str = "key", id_col: str = "doc_id") -> Column:
-    """A join key for rows without one: matches nothing, and spreads them by id instead of on one task."""
-    return F.coalesce(F.col(key), F.concat(F.lit("-"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+def row_digest(columns: list[str], text_col: str = "text") -> Column:
+    """128-bit digest over all columns: only rows that agree in every one of them share it."""
+    rest = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns if c != text_col]), {"ignoreNullFields": "false"}) if len(columns) > 1 else F.lit("")
+    return F.md5(F.concat_ws("|", F.coalesce(F.md5(F.col(text_col)), F.lit("null")), rest))
 
 
 # --- Arrow batches ---------------------------------------------------------

@@ -39,8 +39,10 @@ _SCHEMA = "doc_id long, piece int, first_word long, n_words long, bin string, pl
 class Bins:
     """Open bins in order of what is left, with their bitmaps."""
 
-    def __init__(self, capacity: int, per_source: int):
+    def __init__(self, capacity: int, per_source: int, n_sources: int | None = None):
         self.capacity, self.per_source = capacity, per_source
+        #: What the bitmap of a bin that takes no source any more looks like.
+        self.full = None if n_sources is None else (1 << (n_sources * per_source)) - 1
         self.order: list[tuple[int, int]] = []  # (words left, bin)
         self.used: list[int] = []
         self.clusters: list[int] = []
@@ -76,25 +78,29 @@ class Bins:
         self.used[b] += size
         self.clusters[b] |= bit
         self.sources[b] |= 1 << slot
-        if self.used[b] < self.capacity:
+        if self.used[b] < self.capacity and self.sources[b] != self.full:
             insort(self.order, (self.capacity - self.used[b], b))
         return b, place
 
 
 def pack_group(pdf: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFrame:
-    """Placements of one group's documents (doc_id, source, size, cluster, copy, grp)."""
+    """Placements of one group's documents (doc_id, source, size, cluster, copy, grp).
+
+    Ids come as text: a column of numbers with nulls would turn to floating point.
+    """
     copies = pdf.groupby("cluster")["cluster"].transform("size")
     cluster_of = {c: i for i, c in enumerate(sorted(pdf.loc[copies > 1, "cluster"].unique()))}
     source_of = {s: i for i, s in enumerate(sorted(pdf["source"].unique()))}
     pieces, out = [], []
     for doc, source, size, cluster, copy in zip(pdf["doc_id"], pdf["source"], pdf["size"], pdf["cluster"], pdf["copy"]):
+        doc = None if pd.isna(doc) else int(doc)
         if not size:
             out.append((doc, 0, 0, 0, None, None, None))
         for k, begin in enumerate(range(0, size, capacity)):
-            pieces.append((-min(capacity, size - begin), -1 if pd.isna(doc) else doc, k, cluster, source, copy, begin, doc))
-    pieces.sort(key=lambda p: p[:6])
-    bins, group, at = Bins(capacity, per_source), int(pdf["grp"].iloc[0]), []
-    for size, _, k, cluster, source, _, begin, doc in pieces:
+            pieces.append((-min(capacity, size - begin), doc is not None, doc or 0, k, cluster, source, copy, begin, doc))
+    pieces.sort(key=lambda p: p[:7])
+    bins, group, at = Bins(capacity, per_source, len(source_of)), int(pdf["grp"].iloc[0]), []
+    for size, _, _, k, cluster, source, _, begin, doc in pieces:
         b, place = bins.put(-size, cluster_of.get(cluster, -1), source_of[source])
         at.append((doc, k, begin, -size, b, place))
     out += [(doc, k, begin, n, f"{group}-{b}", place, bins.used[b]) for doc, k, begin, n, b, place in at]
@@ -105,7 +111,7 @@ def pack_group(pdf: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFram
 def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, group_rows: int = GROUP_ROWS) -> DataFrame:
     """One row per piece: doc_id, piece, first_word, n_words, bin, place (words before it), bin_words."""
     digest = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("doc_id").cast("long").cast("string").alias("doc_id"),
         F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source").cast("string"))).alias("source"),
         F.size(words_array(text_or_empty())).cast("long").alias("size"),
         F.md5(F.lower(F.regexp_replace(text_or_empty(), r"[\x20\x09-\x0D]+", " "))).alias("cluster"),

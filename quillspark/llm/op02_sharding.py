@@ -6,26 +6,33 @@ files; `manifest/` holds one JSON-lines file per version, a row per shard.
 size tier (powers of `FANOUT` above `SMALL_BYTES`); a tier with at least `MIN_RUNS` runs is
 merged into target-sized files, which lift into a higher tier, until no tier
 is due. The merge reads whole small files and writes them on, coalesced: rows
-are never shuffled. A version is committed by renaming a finished file to a
-name that must not exist yet, so readers see the old version or the new one,
-and of two writers one fails and retries on the newer version. Files that no
-version lists are invisible; `vacuum` removes them.
+are never shuffled. A version is committed by giving a finished file a name
+that must not exist yet, so readers see the old version or the new one. Of two
+writers one finds the name taken; it then adds its shards to the newer version
+(`append`), or plans its merge anew (`compact`). On local folders the name is
+a hard link, elsewhere a rename that never replaces; both are atomic on POSIX
+folders and on HDFS. A store without such a rename (plain object stores) needs
+a single writer. Files that no version lists are invisible; `vacuum` removes
+them.
 
 Built-in functions only. What the driver holds is one row per run.
 
 Defined results: rows are kept as they are, so null columns, empty texts,
 repeated rows and further columns come back unchanged; an empty arrival commits
-a version without shards, and an empty store reads as no rows of the schema
-given. Names that start with `_sh_` are reserved.
+a version without shards, and an empty store reads as no rows of the columns
+of its first arrival. A column whose name starts with `_sh_` is refused.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.llm.common import scratch_path
 
@@ -69,23 +76,57 @@ class ShardStore:
         fs, part = self._fs(), f"manifest/_part-{uuid.uuid4().hex}"
         shards.coalesce(1).write.json(f"{self.root}/{part}")
         found = [s.getPath() for s in fs.listStatus(self._path(part)) if s.getPath().getName().startswith("part-")]
-        to = self._path(f"manifest/v{version:08d}.json")
         if not found:
             fs.create(self._path(f"{part}/part-empty")).close()
             found = [self._path(f"{part}/part-empty")]
-        done = not fs.exists(to) and fs.rename(found[0], to)
+        done = self._publish(found[0], self._path(f"manifest/v{version:08d}.json"))
         fs.delete(self._path(part), True)
         if not done:
             raise CommitConflict(f"version {version} exists")
         return version
 
+    def _publish(self, part, to) -> bool:
+        """Give a finished file its name, unless there is such a file."""
+        jvm, fs = self.spark._jvm, self._fs()
+        try:
+            if fs.getUri().getScheme() == "file":
+                at = lambda p: jvm.java.io.File(p.toUri().getPath()).toPath()
+                jvm.java.nio.file.Files.createLink(at(to), at(part))
+            else:
+                options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+                options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+                jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration()).rename(part, to, options)
+        except Py4JJavaError:
+            if fs.exists(to):
+                return False
+            raise
+        return True
+
     def _stats(self, folder: str, level: int, runs: int) -> DataFrame:
         """A row per shard file of the runs below `folder`."""
+        fs, files = self._fs(), []
+        found = fs.listFiles(self._path(folder), True)
+        while not files and found.hasNext():
+            name = found.next().getPath().getName()
+            files += [name] if name.startswith("part-") else []
+        if not files:  # an arrival without rows, dealt out by a column, writes no file
+            return self.spark.createDataFrame([], _MANIFEST)
         files = self.spark.read.parquet(f"{self.root}/{folder}").groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).agg(F.count("*").alias("rows"))
         parts = F.split("file", "/")
         run = F.concat_ws("/", F.slice(parts, -(runs + 1), runs))
         return files.select(run.alias("run"), "file", "bytes", "rows", F.lit(level).alias("level"))
 
+    def _columns(self, schema: T.StructType | None = None) -> T.StructType | None:
+        """Columns of the store; those of its first arrival are written down."""
+        fs, path = self._fs(), self._path("schema.json")
+        if schema is not None and not fs.exists(path):
+            out = fs.create(path, False)
+            out.write(bytearray(schema.json().encode()))
+            out.close()
+        if not fs.exists(path):
+            return None
+        return T.StructType.fromJson(json.loads(self.spark.read.text(f"{self.root}/schema.json", wholetext=True).first()[0]))
+
     # --- operations ---
 
     def append(self, rows: DataFrame) -> int:
@@ -97,20 +138,29 @@ class ShardStore:
         return self._append(rows, arrival)
 
     def _append(self, rows: DataFrame, arrival: str | None) -> int:
-        version = (self.versions() or [0])[-1] + 1
+        own = rows if arrival is None else rows.drop(arrival)
+        if any(c.lower().startswith("_sh_") for c in own.columns):
+            raise ValueError("names that start with _sh_ are reserved")
+        self._columns(own.schema)
         name = f"data/{uuid.uuid4().hex}"
         writer = rows.write if arrival is None else rows.withColumnRenamed(arrival, "_sh_run").write.partitionBy("_sh_run")
         writer.parquet(f"{self.root}/{name}")
-        return self.commit(self.manifest().unionByName(self._stats(name, 0, 1 if arrival is None else 2)), version)
+        stats = self._stats(name, 0, 1 if arrival is None else 2)
+        while True:  # the rows are written once; a lost race only adds them to a newer version
+            version = (self.versions() or [0])[-1]
+            try:
+                return self.commit(self.manifest(version or None).unionByName(stats), version + 1)
+            except CommitConflict:
+                continue
 
     def _tier(self, size: int) -> int:
         return max(0, int(math.log(max(size, 1) / self.small_bytes, self.fanout))) if size > self.small_bytes else 0
 
     def compact(self) -> int:
         """Merge tiers that are due until none is; returns the version then current."""
-        version = (self.versions() or [0])[-1]
         while True:
-            current = self.manifest(version) if version else self.manifest()
+            version = (self.versions() or [0])[-1]
+            current = self.manifest(version or None)
             runs = current.groupBy("run").agg(F.sum("bytes").alias("bytes"), F.max("bytes").alias("largest"), F.max("level").alias("level")).collect()
             tiers: dict[int, list] = {}
             for r in runs:
@@ -123,17 +173,29 @@ class ShardStore:
             size, names = sum(r["bytes"] for r in merged), sorted(r["run"] for r in merged)
             name = f"data/{uuid.uuid4().hex}"
             self._read(names).coalesce(max(1, round(size / self.target_bytes))).write.parquet(f"{self.root}/{name}")
-            rest = current.where(~F.col("run").isin(names))
-            version = self.commit(rest.unionByName(self._stats(name, max(r["level"] for r in merged) + 1, 1)), version + 1)
+            fresh = self._stats(name, max(r["level"] for r in merged) + 1, 1)
+            while True:
+                rest = current.where(~F.col("run").isin(names))
+                try:
+                    self.commit(rest.unionByName(fresh), version + 1)
+                    break
+                except CommitConflict:  # if what was merged is still there, the merge holds for the newer version too
+                    version = self.versions()[-1]
+                    current = self.manifest(version)
+                    if current.where(F.col("run").isin(names)).select("run").distinct().count() < len(names):
+                        self._fs().delete(self._path(name), True)
+                        break
 
     def _read(self, runs: list[str]) -> DataFrame:
         """Rows of whole runs; a run that was dealt out keeps its arrival in the folder's name only."""
-        return self.spark.read.parquet(*[f"{self.root}/data/{r}" for r in runs])
+        return self.spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/data/{r}" for r in runs])
 
     def read(self, version: int | None = None) -> DataFrame:
         """All rows of a version, with the shard they lie in as `_sh_file`."""
         shards = self.manifest(version)
         runs = [r["run"] for r in shards.select("run").distinct().collect()]
+        if not runs:
+            return self.spark.createDataFrame([], self._columns() or T.StructType()).withColumn("_sh_file", F.lit(None).cast("string"))
         return self._read(sorted(runs)).withColumn("_sh_file", F.col("_metadata.file_path"))
 
     def vacuum(self) -> None:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import text_or_empty, words_array
+from quillspark.llm.common import free_prefix, text_or_empty, words_array
 
 #: Frequent words by language; punctuation that touches a word hides it, so limits on them are low.
 STOP_WORDS = {
@@ -41,7 +41,8 @@ RULES: tuple[tuple[str, str, float], ...] = (
 )
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
-_T = "__qr_"
+#: Prefix of temporary columns; lengthened where a column of the table begins so.
+_T = "qr_"
 _METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -53,8 +54,8 @@ def _count_in(words: Column, listed: list[str]) -> Column:
     return F.size(F.filter(words, lambda x: F.lower(x).isin(listed)))
 
 
-def _measured(docs: DataFrame) -> DataFrame:
-    """docs with temporary columns `__qr_*`: words, lines and the counts over them."""
+def _measured(docs: DataFrame, _T: str) -> DataFrame:
+    """docs with temporary columns `_T*`: words, lines and the counts over them."""
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     out = docs.withColumns({_T + "text": text_or_empty(), _T + "lang": lang})
     out = out.withColumns(
@@ -96,7 +97,7 @@ def _measured(docs: DataFrame) -> DataFrame:
     return out.withColumn(_T + "n_repeat_words", F.size(covered).cast("long"))
 
 
-def _statistic(name: str) -> Column:
+def _statistic(name: str, _T: str) -> Column:
     c = lambda x: F.col(_T + x)
     return {
         "mean_word_length": _share(c("word_chars"), c("n_words")),
@@ -109,30 +110,31 @@ def _statistic(name: str) -> Column:
     }[name]
 
 
-def compile_rules(rules: tuple[tuple[str, str, float], ...] = RULES) -> Column:
-    """One boolean column: true where every rule holds. A null statistic passes."""
+def compile_rules(rules: tuple[tuple[str, str, float], ...] = RULES, prefix: str = _T) -> Column:
+    """One boolean column over the counts under `prefix`: true where every rule holds. A null statistic passes."""
     verdict = F.lit(True)
     for name, how, bound in rules:
-        x = _statistic(name)
+        x = _statistic(name, prefix)
         holds = x >= F.lit(bound) if how == ">=" else x <= F.lit(bound)
         verdict = verdict & F.coalesce(holds, F.lit(True))
     return verdict
 
 
-def _judged(docs: DataFrame, rules) -> DataFrame:
-    out = _measured(docs)
+def _judged(docs: DataFrame, rules, _T: str) -> DataFrame:
+    out = _measured(docs, _T)
     n, repeated = F.col(_T + "n_words"), F.col(_T + "n_repeat_words")
     failed = (n < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
     out = out.withColumn(_T + "base_failed", failed)
-    return out.withColumn(_T + "kept", ~F.col(_T + "base_failed") & compile_rules(rules))
+    return out.withColumn(_T + "kept", ~F.col(_T + "base_failed") & compile_rules(rules, _T))
 
 
 def score_quality(docs: DataFrame, rules=RULES) -> DataFrame:
     """doc_id, the five counts, base_failed and kept of every row."""
-    out = _judged(docs.select(*[c for c in ("doc_id", "text", "lang") if c in docs.columns]), rules)
+    out = _judged(docs.select(*[c for c in ("doc_id", "text", "lang") if c in docs.columns]), rules, _T)
     return out.select("doc_id", *[F.col(_T + c).alias(c) for c in (*_METRICS, "base_failed", "kept")])
 
 
 def keep_quality(docs: DataFrame, rules=RULES) -> DataFrame:
     """The rows of docs that the rules keep, with docs' own columns."""
-    return _judged(docs, rules).where(F.col(_T + "kept")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    tmp = free_prefix(docs.columns, _T)
+    return _judged(docs, rules, tmp).where(F.col(tmp + "kept")).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,25 +1,30 @@
 """Mixing to target weights (operator 7): a time-varying curriculum.
 
 Sources get the weights 5, 2, 1 in turn; targets share all words by weight and
-stop at three times a source's own words, the excess going to the rest (a
-water filling in closed form over the table of sources). Within a source the
-documents lie end to end in a fixed pseudo-random order, pass after pass; a
-copy is taken if its middle lies before the target, so a source misses its
-target by half a document at most.
+stop at three times a source's own words, the excess going to the rest. The
+water level is found by repeated aggregates over the table of sources, until
+no further source is over its cap. Within a source the documents lie end to
+end in a fixed pseudo-random order, pass after pass; a copy is taken if its
+middle lies before the target, so a source misses its target by half a
+document at most.
 
 Each weight class has a schedule over training time. Its integral is the
 cumulative demand; inverting the demand at a copy's middle gives the copy's
 training position, by which documents are range-sorted.
 
 The order needs prefix sums within a source, and one source may hold a third
-of all rows. They are taken level by level over hash prefixes: no window
-partition holds more than 4,096 sums or a few thousand rows, whatever the
-source. Texts are read once for their word counts and never shuffled by
-`mix_documents`.
+of all rows. They are taken level by level over prefixes of a hash of id and
+text: no window partition holds more than 4,096 sums or a few thousand rows,
+whatever the source. Rows that are alike are counted first and dealt out again
+after the sums, so that repeated rows or null ids fill no leaf. Sources are
+ranked by range partitions, as they may be millions. Texts are read once for
+their word counts and never shuffled by `mix_documents`; `mix_rows` shuffles
+them twice, to find their positions and to sort by these.
 
 Defined results: a null text has size 0 and is never taken; a null source is a
-source of its own and comes last; rows that agree in id and size are alike, so
-either may come first; an empty table gives an empty result; other columns are
+source of its own and comes last; repeated rows are alike, so either may come
+first, and each may be taken; rows that differ in any column are told apart;
+an empty table gives an empty result; other columns, whatever their names, are
 ignored by `mix_documents` and passed through by `mix_rows`.
 """
 
@@ -30,7 +35,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import materialize, row_key, text_or_empty, words_array
+from quillspark.llm.common import free_prefix, materialize, row_digest, text_or_empty, words_array
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -55,57 +60,73 @@ def position_of(share: Column, weight: Column, schedules=SCHEDULES) -> Column:
     return out
 
 
+def _ranked(sums: DataFrame) -> DataFrame:
+    """sums with `place`: the rank of each source (from 0, null last), by range partitions."""
+    spread = sums.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id())
+    spread = materialize(spread, "sources")
+    counts = {r["part"]: r["n"] for r in spread.groupBy("part").agg(F.count("*").alias("n")).collect()}  # one row per partition
+    starts, at = [(-1, 0)], 0
+    for part in sorted(counts):
+        starts.append((part, at))
+        at += counts[part]
+    first = F.broadcast(sums.sparkSession.createDataFrame(starts, "part int, first long"))
+    within = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last()))
+    return spread.withColumn("within", within).join(first, "part").withColumn("place", F.col("first") + F.col("within") - 1).drop("part", "within", "first")
+
+
 def source_targets(digest: DataFrame) -> DataFrame:
     """skey, source_size, weight, target; one row per source."""
-    sums = digest.groupBy("skey").agg(F.min("source").alias("source"), F.sum("size").alias("source_size"))
-    ordered = Window.orderBy(F.col("source").asc_nulls_last())
-    ranked = sums.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.pmod(F.row_number().over(ordered) - 1, F.lit(len(WEIGHTS))) + 1).cast("int")))
+    sums = _ranked(digest.groupBy("skey").agg(F.min("source").alias("source"), F.sum("words").alias("source_size")))
+    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.pmod(F.col("place"), F.lit(len(WEIGHTS))) + 1).cast("int"))
     cap = F.lit(MOST_COPIES) * F.col("source_size")
-    ranked = ranked.withColumn("cap", cap).withColumn("fill", F.col("cap") / F.col("weight"))
-    filled = Window.orderBy("fill", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("fill", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    left = F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(filled), F.lit(0))
-    parts = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(filled), F.lit(0))
-    ranked = ranked.withColumn("level", left / parts)
-    # The level of the first source, by fill, that its cap does not stop, holds for all after it.
-    settled = F.min(F.when(F.col("level") <= F.col("fill"), F.struct("fill", F.col("source").isNull().alias("n"), F.coalesce("source", F.lit("")).alias("s"), "level"))).over(everything)["level"]
-    ranked = ranked.withColumn("final", settled)
-    target = F.when(F.col("level") > F.col("fill"), F.col("cap").cast("double")).otherwise(F.least(F.col("cap").cast("double"), F.col("weight") * F.col("final")))
-    return ranked.select("skey", "source_size", "weight", target.alias("target"))
-
-
-def _digest(docs: DataFrame, keep_key: bool) -> DataFrame:
-    cols = [F.col("doc_id"), F.col("source"), F.size(words_array(text_or_empty())).cast("long").alias("size")]
-    if keep_key:
-        cols.append(row_key().alias("key"))
-    out = docs.select(*cols).withColumn("hash", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    return out.withColumn("skey", F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source"))))
-
-
-def _before(digest: DataFrame, rows: int) -> DataFrame:
-    """digest with `before`: the words of its source that come earlier in the order of hash, id and size."""
+    sums = materialize(sums.select("skey", "source_size", weight.alias("weight"), cap.alias("cap"), (cap / weight).alias("fill")), "weights")
+    level, before = 0.0, -1.0
+    while level != before:  # sources whose cap lies below the level are settled, which lifts it for the others
+        over = F.col("fill") < F.lit(level)
+        left = sums.agg(F.sum("source_size").alias("all"), F.sum(F.when(over, F.col("cap"))).alias("settled"), F.sum(F.when(~over, F.col("weight"))).alias("parts")).first()
+        level, before = ((left["all"] or 0) - (left["settled"] or 0)) / (left["parts"] or 1), level
+    target = F.least(F.col("cap").cast("double"), F.col("weight") * F.lit(level))
+    return sums.select("skey", "source_size", "weight", target.alias("target"))
+
+
+def _digest(docs: DataFrame, key: Column | None = None) -> DataFrame:
+    """One row per kind of row, with its number: doc_id, source, size, hash, skey (and key); words are those of all."""
+    text = text_or_empty()
+    cols = [F.col("doc_id"), F.col("source"), F.size(words_array(text)).cast("long").alias("size")]
+    cols.append(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))).alias("hash"))
+    cols.append(F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source").cast("string"))).alias("skey"))
+    if key is not None:
+        cols.append(key.alias("key"))
+    out = docs.select(*cols)
+    return out.groupBy(*out.columns).agg(F.count("*").alias("alike")).withColumn("words", F.col("size") * F.col("alike"))
+
+
+def _before(digest: DataFrame, rows: int, targets: DataFrame) -> DataFrame:
+    """digest with `before`, the words of its source that come earlier in the order of hash, id and size, and its source's target."""
     depth = max(1, math.ceil(math.log(max(rows / LEAF_ROWS, 1.0), 16)))
     levels = [*range(3, depth, 3), depth]
     prefix = lambda d: F.substring("hash", 1, d)
     offsets, upper = None, 0
     for d in levels:
-        sums = digest.groupBy("skey", prefix(d).alias("leaf")).agg(F.sum("size").alias("words"))
+        sums = digest.groupBy("skey", prefix(d).alias("leaf")).agg(F.sum("words").alias("words"))
         sums = sums.withColumn("up", F.substring("leaf", 1, upper))
         running = Window.partitionBy("skey", "up").orderBy("leaf").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.withColumn("start", F.coalesce(F.sum("words").over(running), F.lit(0)))
         if offsets is not None:
             sums = sums.join(offsets, ["skey", "up"]).withColumn("start", F.col("start") + F.col("base"))
         offsets, upper = sums.select("skey", F.col("leaf").alias("up"), F.col("start").alias("base")), d
-    within = Window.partitionBy("skey", "up").orderBy("hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows_ = digest.withColumn("up", prefix(depth)).withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return rows_.join(offsets, ["skey", "up"]).withColumn("before", F.col("base") + F.col("inner"))
+    # Targets go to the leaves, not to the rows, so no row is joined by its source.
+    leaves = materialize(offsets, "leaves").join(targets, "skey")
+    within = Window.partitionBy("skey", "up").orderBy("hash", "doc_id", "size", *(["key"] if "key" in digest.columns else [])).rowsBetween(Window.unboundedPreceding, -1)
+    rows_ = digest.withColumn("up", prefix(depth)).withColumn("inner", F.coalesce(F.sum("words").over(within), F.lit(0)))
+    return rows_.join(leaves, ["skey", "up"]).withColumn("before", F.col("base") + F.col("inner"))
 
 
-def _mixed(docs: DataFrame, keep_key: bool = False) -> DataFrame:
-    digest = materialize(_digest(docs, keep_key), "sizes")
-    rows = digest.count()
+def _mixed(docs: DataFrame, key: Column | None = None) -> DataFrame:
+    digest = materialize(_digest(docs, key), "sizes")
     targets = materialize(source_targets(digest), "targets")
-    out = _before(digest, rows).join(targets, "skey")
+    out = _before(digest, digest.count(), targets)
+    out = out.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("alike") - 1))).withColumn("before", F.col("before") + F.col("nth") * F.col("size"))
     middle = lambda e: F.lit(e) * F.col("source_size") + F.col("before") + F.col("size") / F.lit(2.0)
     taken = [F.when((F.col("size") > 0) & (middle(e) < F.col("target")), position_of(middle(e) / F.col("target"), F.col("weight"))) for e in range(MOST_COPIES)]
     return out.withColumn("positions", F.filter(F.array(*taken), lambda x: x.isNotNull()))
@@ -113,6 +134,7 @@ def _mixed(docs: DataFrame, keep_key: bool = False) -> DataFrame:
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies, first_position (millionths), by position."""
+    first = F.get("positions", F.lit(0))
     out = _mixed(docs).select(
         "doc_id",
         "size",
@@ -120,16 +142,24 @@ def mix_documents(docs: DataFrame) -> DataFrame:
         "target",
         (F.col("size") * F.size("positions")).alias("taken"),
         F.size("positions").cast("long").alias("copies"),
-        F.floor(F.lit(1e6) * F.get("positions", F.lit(0))).alias("first_position"),
+        F.floor(F.lit(1e6) * first).alias("first_position"),
+        first.alias("at"),
     )
-    return out.orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
+    return out.orderBy(F.col("at").asc_nulls_last(), "doc_id").drop("at")
 
 
 def mix_rows(docs: DataFrame) -> DataFrame:
     """The copies that the mix takes, with docs' own columns, range-sorted by training position."""
-    places = _mixed(docs, keep_key=True).where(F.size("positions") > 0)
-    places = places.groupBy("key").agg(F.flatten(F.collect_list("positions")).alias("__mx_at")).withColumnRenamed("key", "__mx_key")
-    keyed = docs.withColumn("__mx_key", row_key())
-    joined = keyed.join(places, "__mx_key").dropDuplicates(["__mx_key"])
-    out = joined.withColumn("__mx_pos", F.explode("__mx_at"))
-    return out.orderBy("__mx_pos").select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    tmp = free_prefix(docs.columns, "mx_")
+    digest = row_digest(docs.columns)
+    mixed = materialize(_mixed(docs, digest).select("key", "alike", "positions"), "mixed")
+    places = mixed.where(F.size("positions") > 0).select(F.col("key").alias(tmp + "key"), "alike", F.explode("positions").alias(tmp + "at"))
+    keyed = docs.withColumn(tmp + "key", digest)
+    at = lambda rows, wanted: rows.join(wanted.select(tmp + "key", tmp + "at"), tmp + "key")
+    out = at(keyed, places.where("alike = 1"))
+    many = mixed.where("alike > 1").select(F.col("key").alias(tmp + "key")).distinct()
+    if not many.isEmpty():  # repeated rows: one of each stands for all
+        once = keyed.join(many, tmp + "key", "left_semi").dropDuplicates([tmp + "key"])
+        out = out.union(at(once, places.where("alike > 1")))
+    return out.orderBy(tmp + "at", tmp + "key").select(*own)

@@ -9,12 +9,14 @@ With at least n > W/4 and four fifths of the template present, the Jaccard
 similarity of window and template is J >= 0.19, and all bands miss with
 probability (1 - J)**32 < 0.0012; windows of 32 shingles keep them all, so
 short notices are never missed. What is retrieved is verified: the share of
-the template's shingles, compared as text, that stand around the window. Of
-the versions of one license the best verified one is reported.
+the template's shingles, compared as text, that stand around the window.
+Versions of one license share most shingles: a match is dropped if a better
+one of its family overlaps it and holds all shingles that it rests on, so a
+notice beside that of another version is still reported.
 
 Built-in functions only: one projection over the texts, in which a row without
 a band hit (nearly all) yields an empty array; hits are verified as rows of
-their own. Templates are constants, so the broadcast side is bounded.
+their own, each window's words once. Templates are constants, so the broadcast side is bounded.
 
 Defined results: a null text counts as empty; a null doc_id is kept; repeated
 rows each get their own row; texts of under five words match nothing; an empty
@@ -23,10 +25,10 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import materialize, row_key, spread_key, text_or_empty
+from quillspark.llm.common import materialize, text_or_empty
 
 WORDS, BANDS, CONTAINMENT, SHORTEST_WINDOW = 5, 32, 0.8, 32
 
@@ -47,7 +49,15 @@ TEMPLATES = {
     "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
     "Unlicense": "This is free and unencumbered software released into the public domain",
 }
-_HITS = "array<struct<win:int,at:int,band:bigint,near:array<string>>>"
+
+
+def templates_from(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Further templates: the text files of a folder, whole, by file name without its ending."""
+    rows = spark.read.text(folder, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.(?:txt|md))?$", 1).alias("name"), "value").collect()
+    return {r["name"]: r["value"] for r in rows}
+
+
+_HITS = "array<struct<win:int,at:int,bands:array<bigint>,near:array<string>>>"
 
 
 def _words(text: Column) -> Column:
@@ -79,19 +89,20 @@ def template_table(spark: SparkSession, templates: dict[str, str] = TEMPLATES) -
 
 
 def _hits(words: Column, hashes: Column, window: int, bands: list[int]) -> Column:
-    """Windows that share a band with a template, and the words around them."""
+    """Windows that share a band with a template, the bands, and the words around them."""
     none, step = F.array().cast(_HITS), window // 2
 
-    def hit(at: Column, band: Column) -> Column:
+    def hit(at: Column, shared: Column) -> Column:
         begin = F.greatest(at - window, F.lit(0))
-        return F.struct(F.lit(window).alias("win"), at.alias("at"), band.alias("band"), F.slice(words, begin + 1, 3 * window + WORDS).alias("near"))
+        return F.struct(F.lit(window).alias("win"), at.alias("at"), shared.alias("bands"), F.slice(words, begin + 1, 3 * window + WORDS).alias("near"))
 
     starts = F.sequence(F.lit(0), F.size(hashes) - 1, F.lit(step))
     if window <= BANDS:  # the signature of such a window is all its shingles
         signature = lambda s: F.slice(hashes, s + 1, window)
     else:
         signature = lambda s: F.slice(F.sort_array(F.array_distinct(F.slice(hashes, s + 1, window))), 1, BANDS)
-    found = F.flatten(F.transform(starts, lambda s: F.transform(F.filter(signature(s), lambda h: h.isin(bands)), lambda h: hit(s, h))))
+    shared = F.transform(starts, lambda s: F.struct(s.alias("s"), F.array_distinct(F.filter(signature(s), lambda h: h.isin(bands))).alias("b")))
+    found = F.transform(F.filter(shared, lambda x: F.size(x["b"]) > 0), lambda x: hit(x["s"], x["b"]))
     return F.when(F.size(hashes) > 0, found).otherwise(none)
 
 
@@ -106,17 +117,23 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> Dat
     out = out.withColumn("h", _hashes(F.col("w")))
     found = [_hits(F.col("w"), F.col("h"), window, sorted(set(bands))) for window, bands in sorted(by_window.items())]
     out = out.withColumn("hits", F.concat(*found) if found else F.array().cast(_HITS))
-    digest = materialize(out.select("doc_id", F.when(F.size("hits") > 0, row_key()).alias("key"), "hits"), "hits")
+    digest = materialize(out.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "hits"), "hits")
 
     bands = spark.createDataFrame([(n, w, b, s) for n, w, bs, s in known for b in bs], "name string, win int, band bigint, shingles array<string>")
-    rows = digest.where(F.col("key").isNotNull()).select("key", F.explode("hits").alias("x")).select("key", "x.*")
-    pairs = rows.join(F.broadcast(bands), ["win", "band"]).dropDuplicates(["key", "name", "at"])
-    share = F.size(F.array_intersect(_shingles(F.col("near")), F.col("shingles"))) / F.size("shingles")
-    matched = pairs.withColumn("share", share).where(F.col("share") >= CONTAINMENT).groupBy("key", "name").agg(F.max("share").alias("share"))
-    # Versions of one license differ by a word: the best of a family counts.
+    windows = materialize(digest.where(F.size("hits") > 0).select("rid", F.explode("hits").alias("x")).select("rid", "x.*"), "windows")
+    pairs = windows.select("rid", "win", "at", "near", F.explode("bands").alias("band")).join(F.broadcast(bands), ["win", "band"]).dropDuplicates(["rid", "name", "at"])
+    got = F.array_intersect(_shingles(F.col("near")), F.col("shingles"))
     family = F.regexp_extract("name", r"^(.*?)(?:-[0-9].*)?$", 1)
-    matched = matched.withColumn("best", F.max("share").over(Window.partitionBy("key", family))).where(F.col("share") == F.col("best"))
-    listed = matched.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("name", "share"))).alias("found"))
-    out = digest.withColumn("key", spread_key()).join(listed, "key", "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<name:string,share:double>>")))
+    matched = pairs.select("rid", "name", "at", "win", "shingles", got.alias("got"), family.alias("family")).withColumn("share", F.size("got") / F.size("shingles"))
+    matched = materialize(matched.where(F.col("share") >= CONTAINMENT), "matched")
+    # An interval join on bins of the windows; the number of templates bounds what shares a bin.
+    bin_ = F.explode(F.sequence(F.floor(F.col("at") / SHORTEST_WINDOW), F.floor((F.col("at") + F.col("win")) / SHORTEST_WINDOW)))
+    better = matched.select("rid", "family", F.col("at").alias("b_at"), F.col("win").alias("b_win"), F.col("share").alias("b_share"), F.col("shingles").alias("b_shingles"), bin_.alias("bin"))
+    near = matched.select("rid", "family", "name", "at", "win", "share", "got", bin_.alias("bin")).join(better, ["rid", "family", "bin"])
+    beaten = (F.col("b_share") > F.col("share")) & (F.col("b_at") < F.col("at") + F.col("win")) & (F.col("at") < F.col("b_at") + F.col("b_win")) & (F.size(F.array_except("got", "b_shingles")) == 0)
+    kept = matched.join(near.where(beaten).select("rid", "name", "at").distinct(), ["rid", "name", "at"], "left_anti")
+    best = kept.groupBy("rid", "name").agg(F.max("share").alias("share"))
+    listed = best.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("name", "share"))).alias("found"))
+    out = digest.select("rid", "doc_id").join(listed, "rid", "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<name:string,share:double>>")))
     text = F.array_join(F.transform("found", lambda x: F.concat_ws(":", x["name"], F.floor(100 * x["share"]).cast("string"))), ",")
     return out.select("doc_id", F.size("found").cast("long").alias("n_licenses"), text.alias("licenses"))

@@ -1,12 +1,14 @@
 """LM scoring (operator 10): a probabilistic suffix tree.
 
 Training counts every token, one end per document included, then level by
-level the contexts of one, two, ... up to `MOST_DEPTH` tokens and what follows
-them. Contexts and followers that occur `LEAST_COUNT` times are candidates,
-whatever the size of the corpus. A context is retained if its next-symbol
-distribution diverges from that of its longest retained suffix: count times
-Kullback-Leibler divergence of at least `DIVERGENCE` nats. Next-symbol counts
-are smoothed by the suffix's distribution, the root's by add-one:
+level the contexts of one, two, ... tokens and what follows them, as long as a
+longer context could be retained (`MOST_DEPTH` at most). Contexts that occur
+`LEAST_CONTEXT` times and followers that occur `LEAST_COUNT` times after them
+are candidates, whatever the size of the corpus, so the tree grows with it. A
+context is retained if its next-symbol distribution diverges from that of its
+longest retained suffix: count times Kullback-Leibler divergence of at least
+`DIVERGENCE` nats. Next-symbol counts are smoothed by the suffix's
+distribution, the root's by add-one:
 
     p(w | s) = (c(s, w) + (c(s) - k(s) + BACKOFF) * p(w | suffix of s)) / (c(s) + BACKOFF)
 
@@ -17,11 +19,12 @@ Counts and probabilities stay in tables, keyed by 64-bit hashes. log p of a
 token is a sum over the grams that end at it and their contexts: the root's
 log p, log of the back-off weight of each retained context, and for each kept
 (s, w) log of p(w | s) / (weight of s * p(w | suffix of s)). So a text's score
-is the sum of one value per gram in it, found by a join per (document, gram).
+is the sum of one value per gram in it, found by a join per (row, gram).
 Frequent keys are broadcast (at most 1 / HOT_SHARE a level), which keeps hot
 keys out of the join. Bitmaps of fixed size spare lookups that would fail.
 
-Texts are read once per level and twice more, in Arrow batches, and never shuffled.
+Texts are read once per level and twice more, in Arrow batches, and never
+shuffled. Tables of a level are removed once the next has been written.
 
 Defined results: a null text is one end token; a null doc_id hashes as the
 empty text, so it is a training row; repeated rows all count and each get
@@ -37,13 +40,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import hash_of, materialize, mix, row_key, slices, text_or_empty, tokenize
+from quillspark.llm.common import forget, hash_of, materialize, mix, release, slices, text_or_empty, tokenize
 
-LEAST_COUNT, DIVERGENCE, BACKOFF = 2, 8.0, 4.0
+LEAST_CONTEXT, LEAST_COUNT, DIVERGENCE, BACKOFF = 16, 2, 8.0, 4.0
 #: Entries of this share of all tokens are broadcast instead of joined; results do not depend on it.
 HOT_SHARE = 1e-6
 #: Tokens in the longest contexts.
-MOST_DEPTH = 2
+MOST_DEPTH = 6
 #: Size of the bitmaps that spare tasks rows that would match nothing; results do not depend on it.
 FILTER_BITS = 27
 FOLDS, HELD = 7, 2
@@ -108,102 +111,6 @@ def _find(values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(values[at] == x, at, _NONE)
 
 
-class Tree:
-    """A tree of depth two as arrays, to compare with. Tokens are numbered by their place in `tokens` (sorted hashes)."""
-
-    def __init__(self, total: int, vocabulary: int, tokens: np.ndarray, counts: np.ndarray):
-        self.total, self.vocabulary, self.tokens, self.counts = total, vocabulary, tokens, counts
-        empty = np.empty(0, np.int64)
-        self.pairs = self.pair_n = self.triples = self.triple_n = empty
-        self.one = np.full(len(tokens), _NONE)  # token -> row of its context, if retained
-        self.one_n = self.one_k = empty
-        self.two = self.two_n = self.two_k = empty  # pair places of retained contexts
-
-    def root(self, c):
-        return (c + 1.0) / (self.total + self.vocabulary + 1.0)
-
-    def pair_at(self, ids: np.ndarray) -> np.ndarray:
-        """For each position the place of (previous, this) among the pairs, or -1."""
-        if not len(ids):
-            return ids
-        before = np.concatenate([[_NONE], ids[:-1]])
-        key = np.where((before >= 0) & (ids >= 0), before * len(self.tokens) + ids, _NONE)
-        return np.where(key >= 0, _find(self.pairs, key), _NONE)
-
-    def triple_key(self, pair: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        before = np.concatenate([[_NONE], pair[:-1]]) if len(pair) else pair
-        return np.where((before >= 0) & (pair >= 0), before * len(self.tokens) + ids, _NONE)
-
-    def grow_one(self):
-        """Retain one-token contexts whose distribution diverges from the root's."""
-        m = len(self.tokens)
-        context, nxt = self.pairs // m, self.pairs % m
-        n = self.counts[context].astype(float)
-        kept = np.bincount(context, self.pair_n, m) if len(context) else np.zeros(m)
-        root = self.root(self.counts[nxt])
-        lower = (n - kept[context] + BACKOFF) / (n + BACKOFF)
-        p = self.pair_n / (n + BACKOFF) + lower * root
-        gain = np.bincount(context, self.pair_n * np.log(p / root), m) if len(context) else np.zeros(m)
-        rest = np.maximum(self.counts - kept, 0) * np.log((self.counts - kept + BACKOFF) / (self.counts + BACKOFF))
-        keep = np.flatnonzero((kept > 0) & (gain + rest >= DIVERGENCE))
-        self.one[keep] = np.arange(len(keep))
-        self.one_n, self.one_k = self.counts[keep].astype(float), kept[keep]
-
-    def grow_two(self):
-        """Retain two-token contexts that diverge from their retained suffix."""
-        m = len(self.tokens)
-        if not len(self.triples):
-            return
-        context, nxt = self.triples // m, self.triples % m
-        n = self.pair_n[context].astype(float)
-        kept = np.bincount(context, self.triple_n, len(self.pairs))
-        suffix = self.pairs[context] % m
-        low = self.given_one(self.one[suffix], self.pair_count(suffix, nxt), self.root(self.counts[nxt]))
-        p = (self.triple_n + (n - kept[context] + BACKOFF) * low) / (n + BACKOFF)
-        gain = np.bincount(context, self.triple_n * np.log(p / low), len(self.pairs))
-        rest = np.maximum(self.pair_n - kept, 0) * np.log((self.pair_n - kept + BACKOFF) / (self.pair_n + BACKOFF))
-        retained = self.one[self.pairs % m] >= 0
-        keep = np.flatnonzero((kept > 0) & retained & (gain + rest >= DIVERGENCE))
-        self.two, self.two_n, self.two_k = keep, self.pair_n[keep].astype(float), kept[keep]
-
-    def pair_count(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        at = _find(self.pairs, a * len(self.tokens) + b)
-        return np.where(at >= 0, self.pair_n[at] if len(self.pair_n) else 0, 0)
-
-    def given_one(self, row, hit, low):
-        """p(w | one token) where row is the context's, else `low`; hit is c(s, w)."""
-        if not len(self.one_n):
-            return low
-        n, k = self.one_n[row], self.one_k[row]
-        return np.where(row >= 0, (hit + (n - k + BACKOFF) * low) / (n + BACKOFF), low)
-
-    def score(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each position: token number or -1, log10 of the root's p, and log10 of the tree's.
-
-        For tokens outside the tree the root's part is left out of both.
-        """
-        ids = _find(self.tokens, hashes)
-        known = ids >= 0
-        low = np.where(known, self.root(self.counts[ids] if len(self.counts) else 0), 1.0)
-        pair = self.pair_at(ids)
-        pair[first] = _NONE
-        before = np.concatenate([[_NONE], ids[:-1]])
-        before[first] = _NONE
-        row = np.where(before >= 0, self.one[before], _NONE) if len(self.one) else np.full(len(ids), _NONE)
-        hit = np.where(pair >= 0, self.pair_n[pair], 0) if len(self.pair_n) else np.zeros(len(ids))
-        p = self.given_one(row, hit, low)
-        if len(self.two):
-            last = np.concatenate([[_NONE], pair[:-1]])
-            last[first] = _NONE
-            state = _find(self.two, last)
-            key = np.where((last >= 0) & (pair >= 0), last * len(self.tokens) + ids, _NONE)
-            at = np.where(key >= 0, _find(self.triples, key), _NONE)
-            hit = np.where(at >= 0, self.triple_n[at], 0)
-            n, k = self.two_n[state], self.two_k[state]
-            p = np.where(state >= 0, (hit + (n - k + BACKOFF) * p) / (n + BACKOFF), p)
-        return ids, np.log10(low), np.log10(p)
-
-
 def _codes(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """Keys of tokens: places (from 1) of frequent ones, which compress well, marked hashes of the others."""
     at = _find(frequent, hashes)
@@ -298,10 +205,13 @@ def _counted(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _followed(texts: DataFrame, depth: int, frequent, opened, known) -> DataFrame:
+def _followed(texts: DataFrame, depth: int, frequent, opened, known, common) -> DataFrame:
     """(context, low, n): counts of contexts of `depth` tokens (low 0) and of what follows them.
 
     low is the key of the follower's gram without the context's first token.
+    `opened` holds the suffixes that longer contexts may still extend, `known`
+    the lower grams with a probability, `common` grams that are frequent enough
+    to stand in a context.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,6 +220,9 @@ def _followed(texts: DataFrame, depth: int, frequent, opened, known) -> DataFram
             hashes, at = _tokens(batch.column(0))
             grams = _grams(_codes(hashes, frequent.value), at, depth - 1)
             live = np.flatnonzero(np.arange(len(hashes)) - np.repeat(at[:-1], np.diff(at)) >= depth)
+            part = grams[min(depth, 2) - 1]  # the context's tokens, or its pairs
+            for back in range(1, max(depth, 2)):
+                live = live[_holds(common.value, part[live - back])]
             if depth > 1:
                 live = live[_holds(opened.value, grams[-2][live - 1])]
             context, low = grams[-1][live - 1], grams[-1][live]
@@ -319,37 +232,45 @@ def _followed(texts: DataFrame, depth: int, frequent, opened, known) -> DataFram
         yield from counter.rest()
 
     counts = texts.mapInArrow(run, "context long, low long, n long").groupBy("context", "low").agg(F.sum("n").alias("n"))
-    return counts.where(F.col("n") >= LEAST_COUNT)
+    return counts.where(F.col("n") >= F.when(F.col("low") == 0, LEAST_CONTEXT).otherwise(LEAST_COUNT))
+
+
+def _named(grams: DataFrame) -> DataFrame:
+    """grams (context, low, ...) with the key of the whole gram in their place."""
+    rest = grams.columns[2:]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(_joined(a, b).view(np.int64)), *batch.columns[2:]], names=["gram", *rest])
 
+    return grams.mapInArrow(run, ", ".join(["gram long", *(f"{n} {t}" for n, t in grams.dtypes[2:])]))
 
-def _level(texts: DataFrame, depth: int, frequent, opened, known, lower: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Contexts of `depth` tokens (context, n, back, kept, open) and their grams (gram, n, p, gain, kept, open).
+
+def _level(counts: DataFrame, lower: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Contexts (context, n, back, kept, open) of the counts and their grams (gram, n, p, gain, kept, open).
 
     `lower` holds (gram, p) of the grams that are one token shorter. A context
     stays open while a longer one could be retained: its followers' counts
     bound those of every longer context, so the bound on gain is exact.
     """
-    counts = materialize(_followed(texts, depth, frequent, opened, known), "followed")
-    after = counts.where("low <> 0").join(lower.select(F.col("gram").alias("low"), F.col("p").alias("lp")), "low")
     whole = counts.where("low = 0").select("context", F.col("n").alias("whole"))
+    after = counts.where("low <> 0").join(lower.select(F.col("gram").alias("low"), F.col("p").alias("lp")), "low")
+    after = materialize(after.join(whole.select("context"), "context", "left_semi").select("context", "low", "n", "lp"), "after")
     sums = after.groupBy("context").agg(F.sum("n").alias("k")).join(whole, "context")
     back = (F.col("whole") - F.col("k") + BACKOFF) / (F.col("whole") + BACKOFF)
-    rows = after.join(sums, "context").withColumn("back", back).withColumn("own", F.col("n") / (F.col("whole") + BACKOFF) + F.col("back") * F.col("lp"))
-    rows = materialize(rows, "diverging")
+    own = F.col("n") / (F.col("whole") + BACKOFF) + F.col("back") * F.col("lp")
+    rows = after.join(sums.withColumn("back", back), "context").withColumn("own", own)
     most = lambda p: F.sum(F.col("n") * F.log((F.col("n") + BACKOFF * p) / (F.col("n") + BACKOFF) / p))
-    each = rows.groupBy("context").agg(F.sum(F.col("n") * F.log(F.col("own") / F.col("lp"))).alias("gain"), F.first("whole").alias("n"), F.first("k").alias("k"), F.first("back").alias("back"), most(F.col("own")).alias("m1"), most(F.col("lp")).alias("m0"))
-    kept = F.col("gain") + (F.col("n") - F.col("k")) * F.log("back") >= DIVERGENCE
+    each = rows.groupBy("context").agg(F.sum(F.col("n") * F.log(F.col("own") / F.col("lp"))).alias("gain"), F.first("whole").alias("whole"), F.first("k").alias("k"), F.first("back").alias("back"), most(F.col("own")).alias("m1"), most(F.col("lp")).alias("m0"))
+    kept = F.col("gain") + (F.col("whole") - F.col("k")) * F.log("back") >= DIVERGENCE
     each = each.withColumn("kept", kept).withColumn("open", F.when(F.col("kept"), F.col("m1")).otherwise(F.col("m0")) >= DIVERGENCE)
-    contexts = materialize(each.where("kept or open").select("context", "n", "back", "kept", "open"), "contexts")
-
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(_joined(a, b).view(np.int64)), *batch.columns[2:]], names=["gram", "n", "p", "gain", "kept", "open"])
-
-    grams = rows.select("context", "low", "n", "own", "lp", F.log10(F.col("own") / F.col("lp") / F.col("back")).alias("gain")).join(contexts.select("context", "kept", "open"), "context")
-    grams = grams.select("context", "low", "n", F.when(F.col("kept"), F.col("own")).otherwise(F.col("lp")).alias("p"), "gain", "kept", "open")
-    return contexts, materialize(grams.mapInArrow(named, "gram long, n long, p double, gain double, kept boolean, open boolean"), "grams")
+    contexts = materialize(each.where("kept or open").select("context", F.col("whole").alias("n"), "back", "kept", "open"), "contexts")
+    grams = after.join(contexts.select("context", F.col("n").alias("whole"), "back", "kept", "open"), "context").withColumn("own", own)
+    grams = grams.select("context", "low", "n", F.when(F.col("kept"), F.col("own")).otherwise(F.col("lp")).alias("p"), F.log10(F.col("own") / F.col("lp") / F.col("back")).alias("gain"), "kept", "open")
+    grams = materialize(_named(grams), "grams")
+    forget(after)
+    return contexts, grams
 
 
 def train(texts: DataFrame) -> tuple[int, int, int, np.ndarray, DataFrame]:
@@ -373,30 +294,40 @@ def train(texts: DataFrame) -> tuple[int, int, int, np.ndarray, DataFrame]:
     root = counts.mapInArrow(coded, "gram long, n long").withColumn("p", (F.col("n") + 1.0) / F.lit(float(total + vocabulary + 1)))
     none = F.lit(0.0)
     table = root.select(F.col("gram").alias("key"), "n", F.log10("p").alias("base"), F.log10("p").alias("value"), F.lit(1).alias("seen"))
-    lower, opened, depth = root.where(F.col("n") >= LEAST_COUNT), None, 0
-    known = spark.sparkContext.broadcast(_filter(lower.select("gram")))
+    bitmap = lambda keys: spark.sparkContext.broadcast(_filter(keys))
+    lower, opened, depth, levels = root.where(F.col("n") >= LEAST_COUNT), None, 0, []
+    known, common = bitmap(lower.select("gram")), bitmap(root.where(F.col("n") >= LEAST_CONTEXT).select("gram"))
     while depth < MOST_DEPTH and total:
-        contexts, grams = _level(texts, depth + 1, shared, opened, known, lower)
         depth += 1
+        followed = materialize(_followed(texts, depth, shared, opened, known, common), "followed")
+        contexts, grams = _level(followed, lower)
+        if depth == 1:
+            common = bitmap(_named(followed.where((F.col("low") != 0) & (F.col("n") >= LEAST_CONTEXT))).select("gram"))
+        forget(followed)
+        release(spark)
+        levels.append((contexts, grams))
         table = table.union(grams.where("kept").select("gram", "n", none, "gain", F.lit(0))).union(contexts.where("kept").select("context", "n", none, F.log10("back"), F.lit(0)))
         bits = _filter(contexts.where("open").select("context"))
         if not bits.any():
             break
         lower = grams.where("open").select("gram", "p")
-        opened, known = spark.sparkContext.broadcast(bits), spark.sparkContext.broadcast(_filter(lower.select("gram")))
+        opened, known = spark.sparkContext.broadcast(bits), bitmap(lower.select("gram"))
     # A gram's own row and its row as a context become one.
     table = table.groupBy("key").agg(F.max("n").alias("n"), F.sum("base").alias("base"), F.sum("value").alias("value"), F.max("seen").alias("seen"))
-    return total, vocabulary, depth, frequent, materialize(table, "model")
+    model = materialize(table, "model")
+    forget(counts, *(t for level in levels for t in level))
+    release(spark)
+    return total, vocabulary, depth, frequent, model
 
 
-_SCORED = "key string, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<long>, times array<int>"
+_SCORED = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<long>, times array<int>"
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
-    rows = docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), (fold == HELD).alias("held_out"), text_or_empty().alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), (fold == HELD).alias("held_out"), text_or_empty().alias("text"))
     total, vocabulary, depth, frequent, model = train(rows.where(~F.col("held_out")).select("text"))
     hot = model.where(F.col("n") >= max(LEAST_COUNT, HOT_SHARE * total)).toArrow()  # bounded by the share
     keys = hot.column("key").to_numpy().view(np.uint64)
@@ -437,21 +368,16 @@ def score_documents(docs: DataFrame) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(token[new].view(np.int64))),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(times)),
                 ],
-                names=["key", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"],
+                names=["rid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"],
             )
 
     scored = materialize(rows.mapInArrow(run, _SCORED), "scored")
-    # A row is told by its id and a hash of its key: repeated rows agree in both, and share sums.
-    at = {"d": F.coalesce("doc_id", F.lit(0)), "h": F.hash("key")}
-    tail = scored.withColumns(at).select("d", "h", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("d", "h", F.col("x.rare").alias("key"), F.col("x.times").alias("t"))
+    tail = scored.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("rid", F.col("x.rare").alias("key"), F.col("x.times").alias("t"))
     tail = tail.join(model.select("key", "base", "value", "seen"), "key")
     total_of = lambda c: F.sum(F.col("t") * F.col(c))
-    sums = tail.groupBy("d", "h").agg(total_of("base").alias("b"), total_of("value").alias("s"), total_of("seen").alias("also"))
-    bare = scored.withColumns(at).drop("rare", "times", "key")
-    twins = scored.withColumns(at).groupBy("d", "h").agg(F.count("*").alias("twins"))
-    share = {c: F.coalesce(F.col(c) / F.col("twins"), F.lit(0.0)) for c in ("b", "s", "also")}
-    out = bare.join(sums.join(twins, ["d", "h"]), ["d", "h"], "left").withColumns(share)
-    out = out.withColumn("n_known", F.col("n_known") + F.round("also").cast("long"))
+    sums = tail.groupBy("rid").agg(total_of("base").alias("b"), total_of("value").alias("s"), total_of("seen").alias("also"))
+    out = scored.drop("rare", "times").join(sums, "rid", "left").fillna(0, ["b", "s", "also"])
+    out = out.withColumn("n_known", F.col("n_known") + F.col("also"))
     unseen = (F.col("n_tokens") - F.col("n_known")) * F.lit(-float(np.log10(total + vocabulary + 1)))
     return out.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.col("b") + unseen).alias("base_score"), (F.col("score") + F.col("s") + unseen).alias("score")

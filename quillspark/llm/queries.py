@@ -108,7 +108,7 @@ def _position_sql() -> str:
 
 _MIXING_SQL = rf"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-        md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        md5(coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS h FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) + 1] AS weight, 3 * source_size AS cap FROM s),
 f AS (SELECT *, cap::DOUBLE / weight AS fill FROM r),

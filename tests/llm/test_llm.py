@@ -521,24 +521,6 @@ def test_base_score_and_better_model(spark, sf_dir):
     assert model > base
 
 
-def test_distributions_sum_to_one():
-    tree = op10.Tree(1000, 4, np.array([1, 2, 3, 4], np.uint64), np.array([400, 300, 200, 100]))
-    tree.pairs, tree.pair_n = np.array([1, 6]), np.array([300, 150])  # 1 -> 2 and 2 -> 3
-    tree.grow_one()
-    tree.triples, tree.triple_n = np.array([0 * 4 + 2]), np.array([250])  # 1 2 -> 3
-    tree.grow_two()
-    assert (tree.one[:2] >= 0).all() and len(tree.two) == 1
-    scale = tree.root(tree.counts).sum()  # the rest is for unseen tokens
-    rest = 1 - scale
-    for before in ([], [1], [1, 2]):
-        total = 0.0
-        for t in (1, 2, 3, 4):
-            _, _, p = tree.score(np.array([*before, t], np.uint64), np.array([0]))
-            total += 10 ** p[-1]
-        _, _, b = tree.score(np.array([*before, 99], np.uint64), np.array([0]))
-        assert total + rest * 10 ** b[-1] == pytest.approx(1.0)
-
-
 def test_tokenizer_against_regex():
     import pyarrow as pa
 
@@ -575,13 +557,13 @@ def test_pipeline_stages(spark, sf_dir):
     assert packed.agg({"n_words": "sum"}).first()[0] == words(mixed)
 
 
-def plain_tree(texts, depth):
-    """Scores in log10 of a text under a suffix tree with absolute least counts, by brute force."""
+def plain_tree(texts, depth, context=op10.LEAST_CONTEXT):
+    """Scores in log10 of a text under a suffix tree with absolute least counts, by brute force; p; and the contexts kept."""
     docs = [[*t.split(), None] for t in texts]
     grams = Counter(tuple(d[i : i + n]) for d in docs for n in range(1, depth + 2) for i in range(len(d) - n + 1))
     follow = {}
     for g, c in grams.items():
-        if len(g) > 1 and c >= 2:
+        if len(g) > 1 and c >= op10.LEAST_COUNT and grams[g[:-1]] >= context:
             follow.setdefault(g[:-1], {})[g[-1]] = c
     total, size = sum(map(len, docs)), sum(len(g) == 1 for g in grams)
     kept = set()
@@ -600,22 +582,48 @@ def plain_tree(texts, depth):
         gain = sum(c * math.log((c + (n - k + 4) * p(s[1:], w)) / (n + 4) / p(s[1:], w)) for w, c in follow[s].items())
         if gain + (n - k) * math.log((n - k + 4) / (n + 4)) >= 8:
             kept.add(s)
-    return lambda t: sum(math.log10(p(tuple(d[max(0, i - depth) : i]), w)) for d in [[*t.split(), None]] for i, w in enumerate(d)), kept
+    return lambda t: sum(math.log10(p(tuple(d[max(0, i - depth) : i]), w)) for d in [[*t.split(), None]] for i, w in enumerate(d)), p, kept
 
 
-def test_tree_matches_brute_force_whatever_is_frequent(spark, monkeypatch):
+def deep_texts():
     rng = random.Random(15)
     words = PROSE.split()
-    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 40))) + (" one two three four five six" if i % 3 == 0 else f" u{i}") for i in range(90)]
+    texts = []
+    for i in range(300):
+        t = " ".join(rng.choice(words) for _ in range(rng.randint(0, 40)))
+        # What follows "x x x" depends on the word before it, so only a context of four tells.
+        t += rng.choice([" p x x x a", " q x x x b", " x x x c"]) if i % 2 else f" u{i}"
+        texts.append(t + " one two three four five six" * (i % 3 == 0))
+    return texts
+
+
+def test_tree_matches_brute_force_whatever_is_frequent(spark, monkeypatch):
+    texts = deep_texts()
     fit = [t for i, t in enumerate(texts, 1) if zlib.crc32(str(i).encode()) % 7 != 2]
-    score, kept = plain_tree(fit, op10.MOST_DEPTH)
-    assert max(map(len, kept)) >= 2 or op10.MOST_DEPTH < 2
-    for share in (1e-6, 0.01, 1.0):  # 1.0: nothing is broadcast; a cut by share would change scores
+    score, _, kept = plain_tree(fit, op10.MOST_DEPTH)
+    assert max(map(len, kept)) >= 3
+    for share in (1e-6, 1.0):  # 1.0: nothing is broadcast; a cut by share would change scores
         monkeypatch.setattr(op10, "HOT_SHARE", share)
         got = {r["doc_id"]: r["score"] for r in op10.score_documents(spark.createDataFrame(rows_of(*texts), SCHEMA)).collect()}
         assert all(got[i] == pytest.approx(score(t)) for i, t in enumerate(texts, 1))
 
 
+def test_distributions_sum_to_one():
+    texts = deep_texts()
+    _, p, kept = plain_tree(texts, 4)
+    vocabulary = {w for t in texts for w in [*t.split(), None]}
+    for s in [(), ("x",), *sorted(kept, key=len)[-5:]]:
+        assert sum(p(s, w) for w in vocabulary) + p(s, "never seen") == pytest.approx(1.0)
+
+
+def test_rows_without_ids_are_scored_apart(spark):
+    texts = [f"w{i} " * (i % 5) + "the end" for i in range(60)]
+    rows = [(None, *r[1:]) for r in rows_of(*texts)]
+    got = op10.score_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(r["n_tokens"] for r in got) == sorted(len(t.split()) + 1 for t in texts)
+    assert all(r["n_known"] == r["n_tokens"] for r in got)
+
+
 def test_top_k_of_a_query_with_many_copies(spark):
     rows = [(0, [10.0, 0.0])] * 6 + [(i, [-1.0, 0.0]) for i in range(1, 31)]
     got = op9.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
