@@ -20,8 +20,8 @@ token is a sum over the grams that end at it and their contexts: the root's
 log p, log of the back-off weight of each retained context, and for each kept
 (s, w) log of p(w | s) / (weight of s * p(w | suffix of s)). So a text's score
 is the sum of one value per gram in it, found by a join per (row, gram).
-Frequent keys are broadcast (at most 1 / HOT_SHARE a level), which keeps hot
-keys out of the join. Bitmaps of fixed size spare lookups that would fail.
+Frequent keys are broadcast (`HOT_ROWS` at most), which keeps hot keys out of
+the join. Bitmaps of fixed size spare lookups that would fail.
 
 Texts are read once per level and twice more, in Arrow batches, and never
 shuffled. Tables of a level are removed once the next has been written.
@@ -42,13 +42,13 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import forget, hash_of, materialize, mix, release, slices, text_or_empty, tokenize
 
-LEAST_CONTEXT, LEAST_COUNT, DIVERGENCE, BACKOFF = 16, 2, 8.0, 4.0
-#: Entries of this share of all tokens are broadcast instead of joined; results do not depend on it.
-HOT_SHARE = 1e-6
+LEAST_CONTEXT, LEAST_COUNT, DIVERGENCE, BACKOFF = 32, 4, 8.0, 4.0
+#: So many entries, the most frequent, are broadcast instead of joined at most; results do not depend on it.
+HOT_ROWS = 1 << 20
 #: Tokens in the longest contexts.
-MOST_DEPTH = 6
-#: Size of the bitmaps that spare tasks rows that would match nothing; results do not depend on it.
-FILTER_BITS = 27
+MOST_DEPTH = 3
+#: Least and greatest size (as a power of two) of the bitmaps that spare tasks rows that would match nothing; results do not depend on it.
+FILTER_BITS = (16, 27)
 FOLDS, HELD = 7, 2
 _END = np.uint64(hash_of(b"\x00end of document"))
 _NONE = np.int64(-1)
@@ -111,6 +111,18 @@ def _find(values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(values[at] == x, at, _NONE)
 
 
+def _hot(counted: DataFrame) -> DataFrame:
+    """The entries that are broadcast: those from a power of two up, the least that leaves HOT_ROWS at most."""
+    power = F.floor(F.log2("n")).cast("int").alias("power")
+    cut, held = 64, 0
+    for r in counted.groupBy(power).agg(F.count("*").alias("c")).orderBy(F.desc("power")).collect():  # 64 rows at most
+        held += r["c"]
+        if held > HOT_ROWS:
+            break
+        cut = r["power"]
+    return counted.where(F.floor(F.log2("n")) >= cut)
+
+
 def _codes(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """Keys of tokens: places (from 1) of frequent ones, which compress well, marked hashes of the others."""
     at = _find(frequent, hashes)
@@ -134,29 +146,31 @@ def _grams(codes: np.ndarray, at: np.ndarray, depth: int) -> list[np.ndarray]:
     return out
 
 
-def _slots(keys: np.ndarray) -> np.ndarray:
-    return mix(keys * _GOLD + np.uint64(1)) >> np.uint64(64 - FILTER_BITS)
+def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
+    return mix(keys * _GOLD + np.uint64(1)) >> np.uint64(64 - bits)
 
 
 def _filter(keys: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size that holds all keys, and by chance some others."""
+    """A bitmap of bounded size that holds all keys, and by chance some others."""
+    least, most = FILTER_BITS
+    bits = min(most, max(least, keys.count().bit_length() + 3))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = np.unique(_slots(batch.column(0).to_numpy().view(np.uint64)))
+            slot = np.unique(_slots(batch.column(0).to_numpy().view(np.uint64), bits))
             word, first = np.unique(slot >> np.uint64(6), return_index=True)
             if len(word):
-                bits = np.bitwise_or.reduceat(np.uint64(1) << (slot & np.uint64(63)), first)
-                yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int32)), pa.array(bits.view(np.int64))], names=["word", "bits"])
+                held = np.bitwise_or.reduceat(np.uint64(1) << (slot & np.uint64(63)), first)
+                yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int32)), pa.array(held.view(np.int64))], names=["word", "bits"])
 
     got = keys.mapInArrow(run, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    out = np.zeros(1 << (bits - 6), np.uint64)
     out[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
     return out
 
 
 def _holds(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    slot = _slots(keys)
+    slot = _slots(keys, len(bitmap).bit_length() + 5)
     return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -164,31 +178,31 @@ class _PairCounter:
     """Sums counts of pairs of keys and hands them out in bounded batches."""
 
     def __init__(self):
-        self.rows, self.size = [], 0
+        self.context, self.low, self.size = [], [], 0
 
     def add(self, context: np.ndarray, low: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.rows.append(self._sum(context, low, np.ones(len(context), np.int64)))
-        self.size += len(self.rows[-1][0])
-        if self.size > 2 * _FLUSH:
-            self.rows = [self._sum(*map(np.concatenate, zip(*self.rows)))]
-            self.size = len(self.rows[0][0])
-            if self.size > _FLUSH:
-                yield from self.rest()
-
-    @staticmethod
-    def _sum(context, low, n):
-        order = np.argsort(_joined(context, low))
-        context, low, n = context[order], low[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (low[1:] != low[:-1])])) if len(n) else np.empty(0, np.int64)
-        return context[first], low[first], np.add.reduceat(n, first) if len(n) else n
+        self.context.append(context)
+        self.low.append(low)
+        self.size += len(context)
+        if self.size > 4 * _FLUSH:
+            yield from self.rest()
 
     def rest(self) -> Iterator[pa.RecordBatch]:
         if self.size:
-            context, low, n = self._sum(*map(np.concatenate, zip(*self.rows)))
-            self.rows, self.size = [], 0
+            context, low = np.concatenate(self.context), np.concatenate(self.low)
+            self.context, self.low, self.size = [], [], 0
+            key = _joined(context, low)
+            order = np.argsort(key)
+            key = key[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            place, n = order[first], np.diff(np.append(first, len(key)))
             for i in range(0, len(n), 100_000):
                 part = slice(i, i + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(context[part].view(np.int64)), pa.array(low[part].view(np.int64)), pa.array(n[part])], names=["context", "low", "n"])
+                yield _counts(context[place[part]], low[place[part]], n[part])
+
+
+def _counts(context: np.ndarray, low: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(context.view(np.int64)), pa.array(low.view(np.int64)), pa.array(n.astype(np.int64))], names=["context", "low", "n"])
 
 
 def _counted(texts: DataFrame) -> DataFrame:
@@ -215,7 +229,13 @@ def _followed(texts: DataFrame, depth: int, frequent, opened, known, common) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _PairCounter()
+        pairs, contexts = _PairCounter(), _Counter("context")
+
+        def whole(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in found:
+                keys = b.column(0).to_numpy().view(np.uint64)
+                yield _counts(keys, np.zeros(len(keys), np.uint64), b.column(1).to_numpy())
+
         for batch in slices(batches):
             hashes, at = _tokens(batch.column(0))
             grams = _grams(_codes(hashes, frequent.value), at, depth - 1)
@@ -228,8 +248,10 @@ def _followed(texts: DataFrame, depth: int, frequent, opened, known, common) ->
             context, low = grams[-1][live - 1], grams[-1][live]
             seen = _holds(known.value, low)
             if len(live):
-                yield from counter.add(np.concatenate([context, context[seen]]), np.concatenate([np.zeros(len(live), np.uint64), low[seen]]))
-        yield from counter.rest()
+                yield from whole(contexts.add(context.view(np.int64)))
+                yield from pairs.add(context[seen], low[seen])
+        yield from whole(contexts.rest())
+        yield from pairs.rest()
 
     counts = texts.mapInArrow(run, "context long, low long, n long").groupBy("context", "low").agg(F.sum("n").alias("n"))
     return counts.where(F.col("n") >= F.when(F.col("low") == 0, LEAST_CONTEXT).otherwise(LEAST_COUNT))
@@ -283,7 +305,7 @@ def train(texts: DataFrame) -> tuple[int, int, int, np.ndarray, DataFrame]:
     counts = materialize(_counted(texts), "tokens")
     whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     total, vocabulary = int(whole["n"] or 0), int(whole["v"])
-    frequent = np.sort(counts.where(F.col("n") >= max(LEAST_COUNT, HOT_SHARE * total)).select("token").toArrow().column("token").to_numpy().view(np.uint64))
+    frequent = np.sort(_hot(counts.where(F.col("n") >= LEAST_COUNT)).select("token").toArrow().column("token").to_numpy().view(np.uint64))
     shared = spark.sparkContext.broadcast(frequent)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,17 +323,20 @@ def train(texts: DataFrame) -> tuple[int, int, int, np.ndarray, DataFrame]:
         depth += 1
         followed = materialize(_followed(texts, depth, shared, opened, known, common), "followed")
         contexts, grams = _level(followed, lower)
+        used = [known, *([opened] if opened else [])]
         if depth == 1:
+            used.append(common)
             common = bitmap(_named(followed.where((F.col("low") != 0) & (F.col("n") >= LEAST_CONTEXT))).select("gram"))
+        for b in used:
+            b.destroy()
         forget(followed)
-        release(spark)
         levels.append((contexts, grams))
         table = table.union(grams.where("kept").select("gram", "n", none, "gain", F.lit(0))).union(contexts.where("kept").select("context", "n", none, F.log10("back"), F.lit(0)))
-        bits = _filter(contexts.where("open").select("context"))
-        if not bits.any():
-            break
         lower = grams.where("open").select("gram", "p")
-        opened, known = spark.sparkContext.broadcast(bits), bitmap(lower.select("gram"))
+        opened, known = bitmap(contexts.where("open").select("context")), bitmap(lower.select("gram"))
+        release(spark)
+        if not opened.value.any():
+            break
     # A gram's own row and its row as a context become one.
     table = table.groupBy("key").agg(F.max("n").alias("n"), F.sum("base").alias("base"), F.sum("value").alias("value"), F.max("seen").alias("seen"))
     model = materialize(table, "model")
@@ -329,7 +354,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), (fold == HELD).alias("held_out"), text_or_empty().alias("text"))
     total, vocabulary, depth, frequent, model = train(rows.where(~F.col("held_out")).select("text"))
-    hot = model.where(F.col("n") >= max(LEAST_COUNT, HOT_SHARE * total)).toArrow()  # bounded by the share
+    hot = _hot(model).toArrow()  # HOT_ROWS rows at most
     keys = hot.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
     shared = spark.sparkContext.broadcast((frequent, keys[order], *(hot.column(c).to_numpy()[order] for c in ("base", "value", "seen")), _filter(model.select("key"))))
@@ -341,12 +366,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
             sums, rare, docs = np.zeros((3, len(hashes))), [], []
             of = np.repeat(np.arange(batch.num_rows), np.diff(at))
             for gram in _grams(_codes(hashes, frequent), at, depth):
-                place = _find(keys, gram)
-                found = np.flatnonzero(place >= 0)
+                left = np.flatnonzero((gram != 0) & _holds(bitmap, gram))
+                place = _find(keys, gram[left])
+                found = place >= 0
                 for i, column in enumerate((base_of, value_of, seen_of)):
-                    sums[i, found] += column[place[found]]
-                left = np.flatnonzero((place < 0) & (gram != 0))
-                left = left[_holds(bitmap, gram[left])]
+                    sums[i, left[found]] += column[place[found]]
+                left = left[~found]
                 rare.append(gram[left])
                 docs.append(of[left])
             token, doc = np.concatenate(rare), np.concatenate(docs)

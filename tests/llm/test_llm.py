@@ -602,8 +602,8 @@ def test_tree_matches_brute_force_whatever_is_frequent(spark, monkeypatch):
     fit = [t for i, t in enumerate(texts, 1) if zlib.crc32(str(i).encode()) % 7 != 2]
     score, _, kept = plain_tree(fit, op10.MOST_DEPTH)
     assert max(map(len, kept)) >= 3
-    for share in (1e-6, 1.0):  # 1.0: nothing is broadcast; a cut by share would change scores
-        monkeypatch.setattr(op10, "HOT_SHARE", share)
+    for rows in (1 << 20, 40):  # what is broadcast and what is joined must not change scores
+        monkeypatch.setattr(op10, "HOT_ROWS", rows)
         got = {r["doc_id"]: r["score"] for r in op10.score_documents(spark.createDataFrame(rows_of(*texts), SCHEMA)).collect()}
         assert all(got[i] == pytest.approx(score(t)) for i, t in enumerate(texts, 1))
 
