@@ -1,53 +1,60 @@
 """Near-duplicates (operator 6): Order MinHash, verified by banded alignment.
 
-Shingles are five words; two texts are near-duplicates if their shingle
-sequences align to s = L / (n + m - L) >= 0.8, L being the longest common
-subsequence (the Jaccard similarity, with order). Exact copies are folded
-first, by digest.
-
-Sketch: each of `SKETCHES` hash functions takes the `PICKS` least shingles,
-labelled by their occurrence in the text, and lists them in text order; the
-hash of that list is a bucket. Near s = 0.8 a sketch agrees with probability
-about 0.8**3, so 16 sketches miss a pair with probability about 1e-5.
+Two texts are near-duplicates if their words align to s = L / (n + m - L) >= 0.8,
+L being the longest common subsequence (the Jaccard similarity, with order).
+Texts whose five-word shingles are that similar always are. Exact copies are
+folded first, by digest.
+
+Sketch: each of `SKETCHES` hash functions takes the `PICKS` least five-word
+shingles, labelled by their occurrence in the text, and lists them in text
+order; the hash of that list is a bucket. If every twentieth word differs the
+shingles' similarity is about 0.63 and a sketch agrees with probability 0.4; at
+s = 0.8 with the changes spread evenly these are 0.38 and 0.15, so 24 sketches
+miss 1 pair in 200,000 and 1 in 50. Copies of one text mostly link through others.
 
 Candidates: within a bucket the member that shares most buckets leads, and
 everyone is verified against the leader only; verified links give components.
 What remains are pairs of one bucket in different components. They are never
-written out: buckets that hold several components are cut into blocks of
-`BLOCK` members, and a task that gets two blocks finds their links itself. A
-text there needs four ninths of the pair's shingles in common with its
-partner, so one that has too few shingles which any other member holds is
-passed over at once; overlaps of the rest are counted, and what reaches the
-bound is aligned, unless links found so far already join the two. So no link is
-lost, no bucket is capped, and a group of thousands of near copies costs about
-one verification each.
-
-The words of candidate texts are kept once, four bytes a word. Components are
-found by star contraction over tables.
+written out: such buckets are cut by length, as partners differ by a fifth at
+most, then into blocks of `BLOCK_ROWS` members or `BLOCK_WORDS` words, and a task
+that gets two blocks finds their links itself. A text shares four fifths of its
+words with a partner, so among its rarest words all but a fifth of the text's
+number must be found there; what reaches that is aligned, unless links found so
+far already join the two. So no link is lost and no bucket is capped, and a
+group of thousands of near copies costs about one verification each.
+
+Alignment compares the words themselves, bit-parallel within a band. Components
+are found by star contraction over tables. Texts are nodes by a number of their
+own, so documents that share an id are kept apart.
 
 Defined results: a null text counts as empty, and empty texts are copies of
-each other; texts of under five words have one shingle, all their words; rows
-that share an id are one class; a null id takes a hash of its text as its
-node; repeated rows each get their own row; an empty table gives an empty
-result; other columns are ignored by `near_duplicates` and passed through by
-`drop_near_duplicates`.
+each other; texts of under five words have one shingle, all their words; the
+class is named by its least id, or by a negative hash where no member has one,
+and `class_key` (the digest of the text that is kept) tells classes that share
+an id apart; of each class one row is kept, that with the least id (nulls last),
+of repeated rows any; an empty table gives an empty result; other columns are
+ignored by `near_duplicates` and passed through by `drop_near_duplicates`.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections import defaultdict
+import math
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import materialize, mix, slices, text_or_empty, tokenize
+from quillspark.llm.common import free_prefix, materialize, mix, row_digest, slices, text_or_empty, tokenize
 from quillspark.llm.graph import components
 
-WORDS, SIMILARITY, SKETCHES, PICKS, BLOCK = 5, 0.8, 16, 3, 1024
+WORDS, SIMILARITY, SKETCHES, PICKS = 5, 0.8, 24, 2
+#: Members, and words, of a block of a bucket.
+BLOCK_ROWS, BLOCK_WORDS = 1024, 1 << 19
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * _MUL)
 _TOP = np.uint64(2**64 - 1)
@@ -120,101 +127,93 @@ def sketches(sh: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        sh, ends = shingles(*tokenize(batch.column(2)))
-        n = np.diff(ends)
+        words, at = tokenize(batch.column(batch.num_columns - 1))
+        sh, ends = shingles(words, at)
         found = sketches(sh, ends)
-        at = np.concatenate([[0], np.cumsum(np.where(n > 0, SKETCHES, 0))]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(at), pa.array(found.ravel().view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n.astype(np.int64)), lists], names=["doc_id", "tkey", "n", "sketch"])
-
-
-def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", 16 << 20):
-        words, at = tokenize(batch.column(1))
-        words = words.astype("<u4")
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([words[at[i] : at[i + 1]].tobytes() for i in range(batch.num_rows)], pa.binary())], names=["node", "words"])
-
-
-def longest_common(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """Length of the longest common subsequence whose matches lie within `band` of the diagonal."""
-    ordered = np.argsort(b, kind="stable")
-    values = b[ordered]
-    plain = bool((values[1:] != values[:-1]).all()) if len(b) > 1 else True
-    if plain:
-        at = np.minimum(np.searchsorted(values, a), len(b) - 1)
-        rows = np.flatnonzero(values[at] == a)
-        place = ordered[at[rows]]
-        place = place[np.abs(place - rows) <= band]
-        if len(place) < 2 or (np.diff(place) > 0).all():
-            return len(place)
-        tails: list[int] = []
-        for j in place.tolist():
-            k = bisect_left(tails, j)
-            tails[k : k + 1] = [j]
-        return len(tails)
-    where: dict[int, list[int]] = defaultdict(list)
-    for j, x in enumerate(b.tolist()):
-        where[x].append(j)
-    tails = []
-    for i, x in enumerate(a.tolist()):
-        own = where.get(x)
-        if own:
-            lo, hi = bisect_left(own, i - band), bisect_left(own, i + band + 1)
-            for j in reversed(own[lo:hi]):
-                k = bisect_left(tails, j)
-                tails[k : k + 1] = [j]
-    return len(tails)
-
-
-def alignment(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Ordered similarity of two shingle sequences, or 0 if it is below `least`.
-
-    A similarity of `least` leaves at most `band` shingles unmatched, so the
+        offsets = np.concatenate([[0], np.cumsum(np.where(np.diff(ends) > 0, SKETCHES, 0))]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel().view(np.int64)))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.diff(at).astype(np.int64)), lists], names=[*batch.schema.names[:-1], "n", "sketch"])
+
+
+def longest_common(a: list, b: list, band: int) -> int:
+    """Length of the longest common subsequence whose matches lie within `band` of the diagonal.
+
+    A row of the table of lengths is kept as the bits of a number (1: no step up
+    there), so a word of a costs a few operations on len(b) bits (Hyyro, 2004).
+    """
+    m = len(b)
+    if len(a) > m:
+        return longest_common(b, a, band)
+    where: dict = {}
+    for j, x in enumerate(b):
+        where.setdefault(x, []).append(j)
+    places = {}
+    for x in set(a) & where.keys():
+        bits = bytearray(m // 8 + 1)
+        for j in where[x]:
+            bits[j >> 3] |= 1 << (j & 7)
+        places[x] = int.from_bytes(bits, "little")
+    whole = (1 << m) - 1
+    row, window, wide = whole, (1 << (2 * band + 1)) - 1, band < m
+    for i, x in enumerate(a):
+        hit = places.get(x)
+        if hit is not None:
+            if wide:
+                hit &= window << (i - band) if i >= band else window >> (band - i)
+            hit &= row
+            if hit:
+                row = ((row + hit) | (row - hit)) & whole
+    return m - row.bit_count()
+
+
+def alignment(a: list, b: list, least: float = SIMILARITY) -> float:
+    """Ordered similarity of two sequences, or 0 if it is below `least`.
+
+    A similarity of `least` leaves at most `band` items unmatched, so the
     alignment may leave the diagonal by no more than that.
     """
     n, m = len(a), len(b)
     if not n or not m or min(n, m) < least * max(n, m):
         return 0.0
     band = int((n + m) * (1 - least) / (1 + least) + 1e-9)
-    short = min(n, m)
-    differ = np.flatnonzero(a[:short] != b[:short])
-    head = int(differ[0]) if len(differ) else short
-    rest = short - head
-    differ = np.flatnonzero(a[n - rest :][::-1] != b[m - rest :][::-1]) if rest else differ[:0]
-    tail = int(differ[0]) if len(differ) else rest
+    if 2 * (Counter(a) & Counter(b)).total() < n + m - band:
+        return 0.0
+    head, short = 0, min(n, m)
+    while head < short and a[head] == b[head]:
+        head += 1
+    tail, rest = 0, short - head
+    while tail < rest and a[n - 1 - tail] == b[m - 1 - tail]:
+        tail += 1
     common = head + tail
     x, y = a[head : n - tail], b[head : m - tail]
-    if len(x) and len(y):
+    if x and y:
         common += longest_common(x, y, band)
     s = common / (n + m - common)
     return s if s >= least else 0.0
 
 
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def of(blob: bytes) -> np.ndarray:
-        words = np.frombuffer(blob, "<u4")
-        return shingles(words, np.array([0, len(words)]))[0]
-
     for batch in batches:
         left, right = batch.column(2), batch.column(3)
-        good, seen = [], (None, None)
+        good, seen = [], (None, [])
         for i in range(batch.num_rows):
-            blob = left[i].as_py()
-            if seen[0] != blob:
-                seen = (blob, of(blob))
-            if alignment(seen[1], of(right[i].as_py())) >= SIMILARITY:
+            text = left[i].as_py()
+            if seen[0] != text:
+                seen = (text, _WORD.findall(text))
+            if alignment(seen[1], _WORD.findall(right[i].as_py())) >= SIMILARITY:
                 good.append(i)
         rows = pa.array(good, pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["a", "b"])
 
 
-def links_within(roots: np.ndarray, sh: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+def links_within(roots: list[int], texts: list[list], side: list[int], home: list[bool]) -> list[tuple[int, int]]:
     """Links between texts of different roots that are enough to join all that belong together.
 
     Every pair at or above SIMILARITY is linked, or was joined by earlier links.
+    If there are two sides, only pairs across them count; one of a pair has to be at home here.
     """
-    g, sizes = len(roots), np.diff(ends)
-    parent = dict(zip(roots.tolist(), roots.tolist()))
+    g = len(roots)
+    parent = {r: r for r in roots}
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -222,26 +221,37 @@ def links_within(roots: np.ndarray, sh: np.ndarray, ends: np.ndarray) -> list[tu
             x = parent[x]
         return x
 
-    owner = np.repeat(np.arange(g), sizes)
-    _, place, df = np.unique(_labelled(sh, owner), return_inverse=True, return_counts=True)
-    shared = np.bincount(owner, df[place] > 1, g)
-    part, tiny = SIMILARITY / (1 + SIMILARITY), 1e-9
-    alive = np.flatnonzero(shared >= SIMILARITY * sizes - tiny)
-    alive = alive[sizes[alive] > 0]
-    postings, ptr = owner[np.argsort(place, kind="stable")], np.concatenate([[0], np.cumsum(df)])
-    now, out = roots.copy(), []
-    for at, i in enumerate(alive.tolist()):
-        cols = alive[at + 1 :]
-        cols = cols[(now[cols] != now[i]) & (np.minimum(shared[cols], shared[i]) >= part * (sizes[cols] + sizes[i]) - tiny)]
-        if not len(cols):
+    number: dict = {}  # (word, its how-manieth occurrence) -> number
+    ids = []
+    for words in texts:
+        times: dict = {}
+        own = np.empty(len(words), np.int64)
+        for k, w in enumerate(words):
+            c = times.get(w, 0)
+            times[w] = c + 1
+            own[k] = number.setdefault((w, c), len(number))
+        ids.append(own)
+    sizes = np.array([len(x) for x in ids])
+    owner, flat = np.repeat(np.arange(g), sizes), np.concatenate(ids) if ids else np.empty(0, np.int64)
+    df = np.bincount(flat, minlength=len(number))
+    postings, ptr = owner[np.argsort(flat, kind="stable")], np.concatenate([[0], np.cumsum(df)])
+    slack = np.floor((1 - SIMILARITY) * sizes + 1e-9).astype(np.int64)  # words that no partner need have
+    shared = np.bincount(owner, df[flat] > 1, g)
+    alive = (sizes > 0) & (shared >= sizes - slack)
+    side_, home_, now, across, out = np.array(side), np.array(home), np.array(roots), len(set(side)) > 1, []
+    later = np.arange(g)
+    for i in np.flatnonzero(alive).tolist():
+        ok = alive & (later > i) & (now != now[i]) & (home_ | home_[i]) & (np.minimum(sizes, sizes[i]) >= SIMILARITY * np.maximum(sizes, sizes[i]) - 1e-9)
+        if across:
+            ok &= side_ != side_[i]
+        if not ok.any():
             continue
-        own = place[ends[i] : ends[i + 1]]
-        own = own[df[own] > 1]
-        overlap = np.bincount(np.concatenate([postings[ptr[u] : ptr[u + 1]] for u in own.tolist()]), minlength=g)
-        cols = cols[overlap[cols] >= part * (sizes[cols] + sizes[i]) - tiny]
-        for j in cols[np.argsort(-overlap[cols], kind="stable")].tolist():
-            a, b = find(int(roots[i])), find(int(roots[j]))
-            if a != b and alignment(sh[ends[i] : ends[i + 1]], sh[ends[j] : ends[j + 1]]) >= SIMILARITY:
+        rare = ids[i][np.argsort(df[ids[i]], kind="stable")][: 2 * int(slack[i]) + 2]
+        hits = np.bincount(np.concatenate([postings[ptr[u] : ptr[u + 1]] for u in rare.tolist()]), minlength=g)
+        cols = np.flatnonzero(ok & (hits >= len(rare) - slack[i]))
+        for j in cols[np.argsort(-hits[cols], kind="stable")].tolist():
+            a, b = find(roots[i]), find(roots[j])
+            if a != b and alignment(texts[i], texts[j]) >= SIMILARITY:
                 parent[max(a, b)] = min(a, b)
                 now[np.isin(now, [a, b])] = min(a, b)
                 out.append((i, j))
@@ -249,20 +259,19 @@ def links_within(roots: np.ndarray, sh: np.ndarray, ends: np.ndarray) -> list[tu
 
 
 def _rest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each group (key, bi, bj); rows come sorted by group, and a group may span batches."""
+    """Links of each group (key, size, bi, bj); rows come sorted by group, and a group may span batches."""
 
     def solve(rows: pa.Table) -> pa.RecordBatch:
-        nodes, roots = rows.column("node").to_numpy(), rows.column("root").to_numpy()
-        blobs = rows.column("words").to_pylist()
-        words = np.frombuffer(b"".join(blobs), "<u4")
-        at = np.concatenate([[0], np.cumsum([len(x) // 4 for x in blobs])])
-        found = links_within(roots, *shingles(words, at)) if len(set(roots.tolist())) > 1 else []
+        nodes, roots = rows.column("node").to_pylist(), rows.column("root").to_pylist()
+        found = []
+        if len(set(roots)) > 1:
+            found = links_within(roots, [_WORD.findall(t) for t in rows.column("text").to_pylist()], rows.column("own").to_pylist(), rows.column("home").to_pylist())
         return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i, _ in found], pa.int64()), pa.array([nodes[j] for _, j in found], pa.int64())], names=["a", "b"])
 
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
-        cols = [batch.column(k).to_numpy() for k in range(3)]
+        cols = [batch.column(k).to_numpy() for k in range(4)]
         change = np.zeros(max(batch.num_rows - 1, 0), bool)
         for c in cols:
             change |= c[1:] != c[:-1]
@@ -281,64 +290,93 @@ def _rest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose texts align."""
-    left = words.select(F.col("node").alias("b"), F.col("words").alias("wb"))
-    right = words.select(F.col("node").alias("a"), F.col("words").alias("wa"))
-    joined = pairs.join(left, "b").join(right, "a").select("a", "b", "wb", "wa")
+    """Those of the pairs (a, b) whose texts align. b may be hot, so its side is a plain join that can be split."""
+    left = words.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+    right = words.select(F.col("node").alias("a"), F.col("text").alias("ta"))
+    joined = pairs.join(right, "a").join(left, "b").select("a", "b", "tb", "ta")
     return joined.mapInArrow(_verify_batches, "a long, b long")
 
 
-def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(one row per row: doc_id, tkey; one row per text: tkey, node; node, root of linked nodes)."""
-    tkey = F.md5(text_or_empty()).alias("tkey")
-    rows = materialize(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), tkey, text_or_empty().alias("text")).mapInArrow(_sketch_batches, "doc_id long, tkey string, n long, sketch array<long>"), "sketches"
-    )
-    texts = rows.groupBy("tkey", "n", "sketch").agg(F.min("doc_id").alias("id"))
-    texts = materialize(texts.select("tkey", F.coalesce("id", F.xxhash64("tkey")).alias("node"), "n", "sketch"), "texts")
+def _rest(members: DataFrame, roots: DataFrame, words: DataFrame) -> DataFrame:
+    """Links (a, b) that join what shares a bucket, is alike, and is not joined yet."""
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Partners' lengths differ by a factor of 1.25 at most, so they lie in one class of lengths or in two that touch.
+    size = F.floor(F.log(F.greatest("n", F.lit(1))) / F.lit(math.log(1.26))).cast("int")
+    places = F.explode(F.array(F.struct(size.alias("size"), F.lit(True).alias("home")), F.struct((size + 1).alias("size"), F.lit(False).alias("home"))))
+    placed = materialize(placed.select("key", "node", "root", "n", places.alias("p")).select("key", "node", "root", "n", "p.size", "p.home"), "placed")
+    groups = placed.groupBy("key", "size").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("held"), F.sum("n").alias("words"), F.max("home").alias("any"))
+    blocks = F.greatest(F.ceil(F.col("held") / BLOCK_ROWS), F.ceil(F.col("words") / BLOCK_WORDS)).cast("int")
+    mixed = materialize(groups.where("lo < hi and any").select("key", "size", blocks.alias("blocks")), "mixed")
+    open_ = placed.join(mixed, ["key", "size"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    open_ = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(words, "node")
+    open_ = open_.select("key", "size", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "home", "node", "root", "text")
+    open_ = open_.repartition("key", "size", "bi", "bj").sortWithinPartitions("key", "size", "bi", "bj")
+    return materialize(open_.mapInArrow(_rest_batches, "a long, b long").distinct(), "more")
+
+
+def _classes(docs: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+    """(rid, key, doc_id, tkey of every row; tkey, class_id, class_key, class_size, id, kept of every text)."""
+    doc_id, tkey = F.col("doc_id").cast("long").alias("doc_id"), F.md5(text_or_empty()).alias("tkey")
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), key.alias("key"), doc_id, tkey, text_or_empty().alias("text"))
+    rows = materialize(rows.mapInArrow(_sketch_batches, "rid long, key string, doc_id long, tkey string, n long, sketch array<long>"), "sketches")
+    texts = rows.groupBy("tkey", "n", "sketch").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"))
+    texts = materialize(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
     buckets = texts.select("node", "n", F.explode("sketch").alias("key"))
     shared = buckets.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     members = materialize(buckets.join(shared, "key"), "members")
     spread = members.groupBy("node").agg(F.sum("c").alias("spread"))
     ranked = members.join(spread, "node")
     leaders = ranked.groupBy("key").agg(F.max(F.struct("spread", -F.col("node"), "n")).alias("x")).select("key", (-F.col("x.col2")).alias("leader"), F.col("x.n").alias("ln"))
+    leaders = materialize(leaders, "leaders")
     fits = lambda x, y: F.least(x, y) >= SIMILARITY * F.greatest(x, y)
     stars = members.join(leaders, "key").where((F.col("node") != F.col("leader")) & fits(F.col("n"), F.col("ln")))
     stars = materialize(stars.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "stars")
 
-    wanted = texts.join(members.select("node").distinct(), "node", "left_semi").select("tkey", "node")
-    whole = docs.select(tkey, text_or_empty().alias("text")).join(wanted, "tkey").dropDuplicates(["tkey"]).select("node", "text")
-    words = materialize(whole.mapInArrow(_word_batches, "node long, words binary"), "words")
+    # One row of each text, found by id and digest, which spreads copies.
+    wanted = texts.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("tkey").alias("k"), "id")
+    whole = docs.select(doc_id, tkey, text_or_empty().alias("text"))
+    same = (F.col("tkey") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("id"))
+    words = materialize(whole.join(wanted, same).select("tkey", "doc_id", "node", "text").dropDuplicates(["tkey", "doc_id"]).select("node", "text"), "words")
 
     links = materialize(_verified(stars, words), "links")
     roots = components(links)
-    placed = materialize(members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
-    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("held")).where("lo < hi")
-    blocks = F.ceil(F.col("held") / BLOCK).cast("int")
-    open_ = placed.join(mixed.select("key", blocks.alias("blocks")), "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    open_ = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(words, "node")
-    open_ = open_.select("key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "node", "root", "words")
-    open_ = open_.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-    more = materialize(open_.mapInArrow(_rest_batches, "a long, b long").distinct(), "more")
+    more = _rest(members, roots, words)
     if not more.isEmpty():
         roots = components(links.union(more))
-    return rows, texts.select("tkey", "node"), materialize(roots, "roots")
+    rooted = materialize(texts.drop("sketch", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    # Sums and heads are written before they are joined, so that the join may split a hot class.
+    sums = materialize(rooted.groupBy("root").agg(F.min("id").alias("class_id"), F.sum("copies").alias("class_size")), "classes")
+    placed = rooted.join(sums, "root")
+    heads = placed.where(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("root").agg(F.min(F.struct("node", "tkey")).alias("h")).select("root", F.col("h.node").alias("head"), F.col("h.tkey").alias("class_key"))
+    heads = materialize(heads, "heads")
+    name = F.coalesce("class_id", -F.pmod(F.xxhash64("class_key"), F.lit(2**62)) - 1).alias("class_id")
+    return rows, materialize(placed.join(heads, "root").select("tkey", name, "class_key", "class_size", "id", (F.col("node") == F.col("head")).alias("kept")), "placed")
+
+
+def _heads(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows (rid, key) that may be kept: those with the text and the id that are kept of their class."""
+    heads = texts.where("kept").select(F.col("tkey").alias("k"), "id")
+    return rows.join(heads, (F.col("tkey") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("tkey", "rid", "key")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id (the least id of its class), class_size, kept (it is that document)."""
-    rows, texts, roots = _classes(docs)
-    rooted = texts.join(roots, "node", "left").select("tkey", F.coalesce("root", "node").alias("class_id"))
-    out = rows.select("doc_id", "tkey").join(rooted, "tkey")
-    sizes = out.groupBy("class_id").agg(F.count("*").alias("class_size"))
-    return out.join(sizes, "class_id").select("doc_id", "class_id", "class_size", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("kept"))
+    """doc_id, class_id (the least id of its class), class_size, kept (the one row of its class that is), class_key."""
+    rows, texts = _classes(docs, F.lit(None).cast("string"))
+    chosen = materialize(_heads(rows, texts).groupBy("tkey").agg(F.min("rid").alias("rid")).select("rid", F.lit(True).alias("kept")), "chosen")
+    out = rows.select("rid", "doc_id", "tkey").join(texts.drop("id", "kept"), "tkey").join(chosen, "rid", "left")
+    return out.select("doc_id", "class_id", "class_size", F.coalesce("kept", F.lit(False)).alias("kept"), "class_key")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each class, that with the least id, with docs' own columns."""
-    _, texts, roots = _classes(docs)
-    kept = texts.join(roots, "node", "left").where(F.coalesce("root", "node") == F.col("node"))
-    kept = materialize(kept.groupBy("node").agg(F.min("tkey").alias("__nd_key")).withColumnRenamed("node", "__nd_node"), "kept")
-    keyed = docs.withColumn("__nd_key", F.md5(text_or_empty()))
-    joined = keyed.join(kept, "__nd_key").where(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("__nd_key")) == F.col("__nd_node"))
-    return joined.dropDuplicates(["__nd_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each class, the one that `near_duplicates` keeps, with docs' own columns."""
+    tmp = free_prefix(docs.columns, "nd_") + "key"
+    digest = row_digest(docs.columns)
+    rows, texts = _classes(docs, digest)
+    heads = _heads(rows, texts).groupBy("tkey", "key").agg(F.count("*").alias("alike"))
+    chosen = materialize(heads.groupBy("tkey").agg(F.min(F.struct("key", "alike")).alias("x")).select(F.col("x.key").alias(tmp), F.col("x.alike").alias("alike")), "chosen")
+    keyed = docs.withColumn(tmp, digest)
+    out = keyed.join(chosen.where("alike = 1").select(tmp), tmp, "left_semi")
+    many = chosen.where("alike > 1").select(tmp)
+    if not many.isEmpty():  # repeated rows: one of them stands for all
+        out = out.union(keyed.join(many, tmp, "left_semi").dropDuplicates([tmp]))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
