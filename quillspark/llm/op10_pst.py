@@ -123,9 +123,27 @@ def _hot(counted: DataFrame) -> DataFrame:
     return counted.where(F.floor(F.log2("n")) >= cut)
 
 
-def _codes(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+class _Places:
+    """Finds places in sorted values by one look into a table; only what shares a slot is searched for."""
+
+    def __init__(self, values: np.ndarray):
+        self.values, self.bits = values, max(10, len(values).bit_length() + 2)
+        self.table = np.zeros(1 << self.bits, np.int32)
+        self.table[_slots(values, self.bits)] = np.arange(len(values), dtype=np.int32)
+
+    def find(self, x: np.ndarray) -> np.ndarray:
+        """Place of each x, or -1."""
+        if not len(self.values):
+            return np.full(len(x), _NONE)
+        at = self.table[_slots(x, self.bits)].astype(np.int64)
+        other = np.flatnonzero(self.values[at] != x)
+        at[other] = _find(self.values, x[other])
+        return at
+
+
+def _codes(hashes: np.ndarray, frequent: _Places) -> np.ndarray:
     """Keys of tokens: places (from 1) of frequent ones, which compress well, marked hashes of the others."""
-    at = _find(frequent, hashes)
+    at = frequent.find(hashes)
     return np.where(at >= 0, (at + 1).astype(np.uint64), hashes | _MARK)
 
 
@@ -184,7 +202,7 @@ class _PairCounter:
         self.context.append(context)
         self.low.append(low)
         self.size += len(context)
-        if self.size > 4 * _FLUSH:
+        if self.size > 8 * _FLUSH:
             yield from self.rest()
 
     def rest(self) -> Iterator[pa.RecordBatch]:
@@ -229,7 +247,7 @@ def _followed(texts: DataFrame, depth: int, frequent, opened, known, common) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, contexts = _PairCounter(), _Counter("context")
+        pairs, contexts, places = _PairCounter(), _Counter("context"), _Places(frequent.value)
 
         def whole(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in found:
@@ -238,7 +256,7 @@ def _followed(texts: DataFrame, depth: int, frequent, opened, known, common) ->
 
         for batch in slices(batches):
             hashes, at = _tokens(batch.column(0))
-            grams = _grams(_codes(hashes, frequent.value), at, depth - 1)
+            grams = _grams(_codes(hashes, places), at, depth - 1)
             live = np.flatnonzero(np.arange(len(hashes)) - np.repeat(at[:-1], np.diff(at)) >= depth)
             part = grams[min(depth, 2) - 1]  # the context's tokens, or its pairs
             for back in range(1, max(depth, 2)):
@@ -309,8 +327,9 @@ def train(texts: DataFrame) -> tuple[int, int, int, np.ndarray, DataFrame]:
     shared = spark.sparkContext.broadcast(frequent)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = _Places(shared.value)
         for batch in batches:
-            code = _codes(batch.column(0).to_numpy().view(np.uint64), shared.value)
+            code = _codes(batch.column(0).to_numpy().view(np.uint64), places)
             yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), batch.column(1)], names=["gram", "n"])
 
     root = counts.mapInArrow(coded, "gram long, n long").withColumn("p", (F.col("n") + 1.0) / F.lit(float(total + vocabulary + 1)))
@@ -361,13 +380,14 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, keys, base_of, value_of, seen_of, bitmap = shared.value
+        frequent, keys = _Places(frequent), _Places(keys)
         for batch in slices(batches):
             hashes, at = _tokens(batch.column(3))
             sums, rare, docs = np.zeros((3, len(hashes))), [], []
             of = np.repeat(np.arange(batch.num_rows), np.diff(at))
             for gram in _grams(_codes(hashes, frequent), at, depth):
                 left = np.flatnonzero((gram != 0) & _holds(bitmap, gram))
-                place = _find(keys, gram[left])
+                place = keys.find(gram[left])
                 found = place >= 0
                 for i, column in enumerate((base_of, value_of, seen_of)):
                     sums[i, left[found]] += column[place[found]]
