@@ -53,7 +53,7 @@ from quillspark.llm.graph import components
 
 WORDS, SIMILARITY, SKETCHES, PICKS = 5, 0.8, 24, 2
 #: Members, and words, of a block of a bucket.
-BLOCK_ROWS, BLOCK_WORDS = 1024, 1 << 19
+BLOCK_ROWS, BLOCK_WORDS = 512, 1 << 18
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * _MUL)
@@ -344,13 +344,12 @@ def _classes(docs: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
     if not more.isEmpty():
         roots = components(links.union(more))
     rooted = materialize(texts.drop("sketch", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
-    # Sums and heads are written before they are joined, so that the join may split a hot class.
-    sums = materialize(rooted.groupBy("root").agg(F.min("id").alias("class_id"), F.sum("copies").alias("class_size")), "classes")
-    placed = rooted.join(sums, "root")
-    heads = placed.where(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("root").agg(F.min(F.struct("node", "tkey")).alias("h")).select("root", F.col("h.node").alias("head"), F.col("h.tkey").alias("class_key"))
-    heads = materialize(heads, "heads")
-    name = F.coalesce("class_id", -F.pmod(F.xxhash64("class_key"), F.lit(2**62)) - 1).alias("class_id")
-    return rows, materialize(placed.join(heads, "root").select("tkey", name, "class_key", "class_size", "id", (F.col("node") == F.col("head")).alias("kept")), "placed")
+    # Written before it is joined, so that the join may split a hot class.
+    head = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node", "tkey")).alias("h")
+    sums = rooted.groupBy("root").agg(head, F.sum("copies").alias("class_size"))
+    name = F.coalesce("h.id", -F.pmod(F.xxhash64("h.tkey"), F.lit(2**62)) - 1).alias("class_id")
+    sums = materialize(sums.select("root", "class_size", name, F.col("h.tkey").alias("class_key"), F.col("h.node").alias("head")), "classes")
+    return rows, materialize(rooted.join(sums, "root").select("tkey", "class_id", "class_key", "class_size", "id", (F.col("node") == F.col("head")).alias("kept")), "placed")
 
 
 def _heads(rows: DataFrame, texts: DataFrame) -> DataFrame:

@@ -5,13 +5,16 @@ summed up by count, radius and largest norm. For a query cell j and a data
 cell i with pivots p and radii r, every inner product lies within
 p_j.p_i -+ (r_j |p_i| + |q|max r_i); the k-th best lower bound of a query cell
 is a floor under its answers, and a data cell whose upper bound is below the
-floor is not needed. The queries, the smaller side, are replicated to the
-needed cells only, and solved there by exact matrix products.
+floor is not needed. Query cells that need much the same data form blocks of
+`BLOCK` queries (a larger cell makes several); a data cell is sent to the blocks
+that need it only, and a query meets only the cells that its own cell needs.
+They are solved there by exact matrix products.
 
-Cells are cut into chunks of `CHUNK` vectors by a hash, and queries into
-blocks of `BLOCK`, so a task's memory is bounded even if one vector makes up a
-third of the table. Each chunk sends k rows per query to the final ranking.
-What goes to the driver is the pivots and one summary row per cell.
+Cells are cut into chunks of `CHUNK` vectors by a hash, so a task's memory is
+bounded even if one vector makes up a third of the table. Each chunk sends k
+rows per query to the final ranking. Pivots grow with the square root of the
+rows, from `PIVOTS[0]` to `PIVOTS[1]`. What goes to the driver is the pivots and
+one summary row per cell; the plan holds a row per block and cell that it needs.
 
 Defined results: vectors that are null or hold null or non-finite components
 take no part, nor do rows with a null id; of vectors of different lengths the
@@ -34,7 +37,9 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import materialize
 
-PIVOTS, CHUNK, BLOCK = 48, 8192, 4096
+PIVOTS, CHUNK, BLOCK = (48, 1024), 8192, 4096
+#: Rows of the plan up to which it is broadcast.
+BROADCAST_ROWS = 1_000_000
 SCALE = 256
 
 
@@ -90,7 +95,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     """query_id, rank, vec_id, score: the k best rows for each row whose id divides by `every`."""
     spark = vectors.sparkSession
     numbers = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v")).mapInArrow(_numbers, "vec_id long, v binary")
-    pivots = [bytes(r["v"]) for r in numbers.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(PIVOTS).collect()]
+    wanted = min(PIVOTS[1], max(PIVOTS[0], int(vectors.count() ** 0.5 / 8)))
+    pivots = [bytes(r["v"]) for r in numbers.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(wanted).collect()]
     pivots = list(dict.fromkeys(pivots))
     schema = "query_id long, rank int, vec_id long, score long"
     if not pivots:
@@ -113,18 +119,24 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     ).collect()  # one row per pivot
     if not any(s["nq"] for s in summary):
         return spark.createDataFrame([], schema)
-    blocks = -(-sum(s["nq"] for s in summary) // BLOCK)
     copies = cells.where(asked).groupBy("vec_id", "cell").agg(F.count("*").alias("n"))
     most = {r["cell"]: r["n"] for r in copies.groupBy("cell").agg(F.max("n").alias("n")).collect()}  # one row per pivot
     top = copies.groupBy("vec_id").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
-    plan = _needed(summary, centre, k, most, top)
-    places = spark.createDataFrame(plan, "qcell int, cell int, chunks int")
-    sizes = spark.createDataFrame([(s["cell"], -(-s["n"] // CHUNK)) for s in summary], "cell int, chunks int")
-    block = F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(blocks)).cast("int")
-    queries = cells.where(asked).groupBy("vec_id").agg(F.min(F.struct("v", "cell")).alias("x")).select(F.col("vec_id").alias("query_id"), F.col("x.v").alias("qv"), F.col("x.cell").alias("qcell"), block.alias("block"))
-    queries = queries.join(F.broadcast(places), "qcell").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("cell", "chunk", "block", "query_id", "qv")
-    data = cells.join(F.broadcast(sizes), "cell").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"))
-    data = data.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("cell", "chunk", "block", "vec_id", "v")
+    need = _needed(summary, centre, k, most, top)
+    cuts = {s["cell"]: -(-s["n"] // CHUNK) for s in summary}
+    small = lambda df, rows: F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    sizes = F.broadcast(spark.createDataFrame(list(cuts.items()), "cell int, chunks int"))
+    planned = lambda name, lists: small(spark.createDataFrame(list(lists.items()), f"{name} int, cells array<int>").select(name, F.explode("cells").alias("cell")).join(sizes, "cell"), sum(map(len, lists.values())))
+    places = planned("qcell", need)
+    first, parts, sends = _blocks({s["cell"]: s["nq"] for s in summary}, need)
+    own = spark.createDataFrame([(j, first[j], parts[j]) for j in need], "qcell int, first int, parts int")
+    sent = planned("block", sends)
+    queries = cells.where(asked).groupBy("vec_id").agg(F.min(F.struct("v", "cell")).alias("x")).select(F.col("vec_id").alias("query_id"), F.col("x.v").alias("qv"), F.col("x.cell").alias("qcell"))
+    block = (F.col("first") + F.pmod(F.xxhash64("query_id", F.lit(7)), F.col("parts"))).cast("int")
+    queries = queries.join(F.broadcast(own), "qcell").withColumn("block", block).join(places, "qcell")
+    queries = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("cell", "chunk", "block", "query_id", "qv")
+    # A cell comes once for each block that needs it; its chunk is the same in all.
+    data = cells.join(sent, "cell").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int")).select("cell", "chunk", "block", "vec_id", "v")
 
     def solve(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -150,24 +162,47 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _needed(summary, centre: np.ndarray, k: int, most: dict[int, int] | None = None, top: int = 1) -> list[tuple[int, int, int]]:
-    """(query cell, data cell, chunks of the data cell) that the bounds cannot rule out.
+def _needed(summary, centre: np.ndarray, k: int, most: dict[int, int] | None = None, top: int = 1) -> dict[int, list[int]]:
+    """For each cell with queries, the data cells that the bounds cannot rule out.
 
     A query never meets its own id, so a floor rests on the rows that are left
     without any one query's: `top` rows have the same query id at most, and
     `most` of them in each cell.
     """
     norm, dots = np.sqrt((centre * centre).sum(1)), centre @ centre.T
-    out = []
+    cell = np.array([s["cell"] for s in summary])
+    n, radius = np.array([s["n"] for s in summary]), np.array([s["radius"] for s in summary])
+    same = np.array([top if most is None else most.get(c, 0) for c in cell.tolist()])
+    out = {}
     for j in (s for s in summary if s["nq"]):
-        wide = [j["rq"] * norm[s["cell"]] + j["nrm"] * s["radius"] for s in summary]
-        slack = 1e-6 * (1 + max(wide) + np.abs(dots).max())
-        low = sorted(((dots[j["cell"], s["cell"]] - w - slack, s["n"], top if most is None else most.get(s["cell"], 0)) for s, w in zip(summary, wide)), reverse=True)
-        floor, seen, own = -np.inf, 0, 0
-        for bound, n, same in low:
-            seen, own = seen + n, own + same
-            if seen - min(own, top) >= k:
-                floor = bound
-                break
-        out += [(j["cell"], s["cell"], -(-s["n"] // CHUNK)) for s, w in zip(summary, wide) if dots[j["cell"], s["cell"]] + w + slack >= floor]
+        at = dots[j["cell"], cell]
+        wide = j["rq"] * norm[cell] + j["nrm"] * radius
+        slack = 1e-6 * (1 + wide.max() + np.abs(dots).max())
+        low = np.argsort(-(at - wide), kind="stable")
+        enough = np.flatnonzero(np.cumsum(n[low]) - np.minimum(np.cumsum(same[low]), top) >= k)
+        floor = (at - wide)[low[enough[0]]] - slack if len(enough) else -np.inf
+        out[j["cell"]] = cell[at + wide + slack >= floor].tolist()
     return out
+
+
+def _blocks(asked: dict[int, int], need: dict[int, list[int]]) -> tuple[dict[int, int], dict[int, int], dict[int, list[int]]]:
+    """First block and number of blocks of each query cell, and the data cells that each block needs.
+
+    Cells are taken in the order of what they need, so those that need the same lie together.
+    """
+    first, parts, sends = {}, {}, {}
+    block, held, cells = 0, 0, set()
+    for j in sorted(need, key=lambda c: (need[c], c)):
+        if held and held + asked[j] > BLOCK:
+            sends[block] = sorted(cells)
+            block, held, cells = block + 1, 0, set()
+        first[j], parts[j] = block, max(1, -(-asked[j] // BLOCK))
+        held, cells = held + asked[j], cells | set(need[j])
+        if parts[j] > 1:
+            for _ in range(parts[j]):
+                sends[block] = sorted(cells)
+                block += 1
+            held, cells = 0, set()
+    if held:
+        sends[block] = sorted(cells)
+    return first, parts, sends

@@ -536,7 +536,22 @@ def test_top_k_of_few_and_none(spark):
 def test_bounds_prune_far_cells():
     cell = lambda i, r, q: {"cell": i, "n": 10, "radius": r, "nq": q, "rq": 0.1, "nrm": 100.0}
     centre = np.array([[100.0, 0.0], [-100.0, 0.0]])
-    assert [p[:2] for p in op9._needed([cell(0, 1.0, 5), cell(1, 1.0, 0)], centre, 5)] == [(0, 0)]
+    assert op9._needed([cell(0, 1.0, 5), cell(1, 1.0, 0)], centre, 5) == {0: [0]}
+
+
+def test_blocks_hold_all_that_their_cells_need(monkeypatch):
+    monkeypatch.setattr(op9, "BLOCK", 10)
+    asked, need = {0: 4, 1: 25, 2: 3, 3: 9, 4: 1}, {0: [0, 1], 1: [1, 2], 2: [0, 1], 3: [5], 4: [5]}
+    first, parts, sends = op9._blocks(asked, need)
+    for j in need:
+        assert all(set(need[j]) <= set(sends[b]) for b in range(first[j], first[j] + parts[j]))
+    assert parts[1] == 3 and sum(map(len, sends.values())) < len(sends) * 4
+
+
+def test_top_k_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(op9, "BLOCK", 2)
+    monkeypatch.setattr(op9, "CHUNK", 16)
+    test_top_k_matches_brute_force(spark)
 
 
 # --- 10 language model ---
