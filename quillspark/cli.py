@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import sys
 import uuid
 
 from quillspark import schemas
@@ -16,7 +17,7 @@ from quillspark.plans import judge, reports
 from quillspark.plans.domains import Domains
 from quillspark.plans.generate import Generator
 from quillspark.session import session
-from quillspark.sources.llm import HttpChat, StubChat, hash_embedder
+from quillspark.sources.llm import HttpChat, HttpEmbedder, LocalEmbedder, StubChat, hash_embedder
 from quillspark.sources.store import TABLES, Store, evaluation_mirror, question_mirror, write_csv
 
 log = logging.getLogger("quillspark")
@@ -41,27 +42,38 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def embedder(env: Settings, stub: bool):
+    """The embedder that the settings name: an endpoint, a local model, the stand-in for dry runs, or none (memory off)."""
+    if env.embed_url:
+        return HttpEmbedder(env.embed_url, env.embed_model, env.llm_key)
+    if stub:
+        return hash_embedder()
+    return LocalEmbedder(env.embed_model) if env.embed_model else None
+
+
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
-    spark, env = session(), Settings.from_env()
+    env = Settings.from_env()
+    handlers = [logging.StreamHandler(sys.stdout), *([logging.FileHandler(env.log_file, encoding="utf-8")] if env.log_file else [])]
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s", handlers=handlers, force=True)
+    spark = session()
     store, run_id = Store(spark, a.root), uuid.uuid4().hex
     chat = StubChat() if a.stub else HttpChat(env.llm_url, env.llm_model, env.llm_key, env.llm_temperature, env.llm_max_tokens, env.llm_timeout, env.llm_tries)
     if a.init:
         for name, schema in TABLES.items():
             store.append(name, spark.createDataFrame([], schema))
     if a.migrate:
-        store.write_batch("personas", schemas.migrate_personas(store.read("personas")), "migrated", 0)
+        store.replace("personas", schemas.migrate_personas(store.read("personas")))
     if a.gen_personas:
         store.write_batch("personas", personas(spark, a.gen_personas, Domains()), "population", 0)
         log.info("personas: %d", reports.count_rows(store.read("personas")))
     if a.generate or a.test:
         size = 100 if a.test else a.batch_size or env.batch_size
         settings = Settings(**{**env.__dict__, "batch_size": size})
-        log.info("generation: %s", Generator(store, chat, hash_embedder() if a.stub else None, settings, run_id).run())
+        log.info("generation: %s", Generator(store, chat, embedder(env, a.stub), settings, run_id).run(progress=log.info))
     if a.judge:
         quiet = StubChat() if a.stub else HttpChat(env.llm_url, env.llm_model, env.llm_key, env.judge_temperature, env.judge_max_tokens, env.llm_timeout, env.llm_tries)
-        log.info("judging: %s", judge.run(store, quiet, run_id, env, a.limit))
+        log.info("judging: %s", judge.run(store, quiet, run_id, env, a.limit, batch_size=a.batch_size or env.judge_batch_size, progress=log.info))
     people, questions = store.read("personas"), store.read("questions")
     if a.report:
         print(reports.text_report(people, questions))
@@ -70,8 +82,8 @@ def main(argv: list[str] | None = None) -> int:
     if a.topic_report:
         log.info("topic report: %s", reports.topic_html(questions, people, a.topic_report))
     if a.export_csv:
-        write_csv(question_mirror(questions, people), f"{a.export_csv}/questions", schemas.QUESTION_CSV)
-        write_csv(evaluation_mirror(store.read("evaluations"), questions, people), f"{a.export_csv}/evaluations", schemas.EVALUATION_CSV)
+        write_csv(question_mirror(questions, people), f"{a.export_csv}/questions", schemas.QUESTION_CSV, "overwrite")
+        write_csv(evaluation_mirror(store.read("evaluations"), questions, people), f"{a.export_csv}/evaluations", schemas.EVALUATION_CSV, "overwrite")
     return 0
 
 

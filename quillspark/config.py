@@ -33,6 +33,10 @@ class Settings:
     llm_max_tokens: int = 800
     llm_timeout: float = 120.0
     llm_tries: int = 3
+    embed_url: str = ""
+    embed_model: str = ""
+    log_file: str = ""
+    judge_batch_size: int = 25
     judge_temperature: float = 0.1
     judge_max_tokens: int = 500
     concurrency: int = 50

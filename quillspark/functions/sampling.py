@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import random
 from collections.abc import Iterator
 from math import gcd
@@ -66,25 +67,45 @@ def make_persona(seed: int, cell: tuple[str, str, str] | None, d: Domains) -> di
         cell = rng.choice(d.professions), rng.choice(d.topics), pick(d.educations, d.education_weights)
     out["profession"], out["pain_point"], out["education"] = cell
     detail = rng.choice(d.life_details)
-    detail = detail.format(location=out["location"], family_size=rng.randint(2, 8), years_exp=rng.randint(1, 30))
+    detail = detail.format(location=out["location"], family_size=rng.randint(*d.family_sizes), years_exp=rng.randint(*d.experience_years))
     template = rng.choice(d.backstories)
     out["backstory"] = template.format(life_detail=detail, education_detail=f"Education: {out['education']}.", **{k: out[k] for k in ("age", "gender", "profession", "location", "social_status", "pain_point")})
     return out
 
 
-def personas(spark: SparkSession, count: int, domains: Domains, seed: int = MASTER_SEED, cell_seed: int = CELL_SEED) -> DataFrame:
-    """`count` personas, reproducible by row. Seeds run from one generator, so each is drawn where its row is."""
-    cells = stratified_cells(spark, count, domains, cell_seed)
+#: Personas whose seeds one task draws from one state of the generator.
+SEED_BLOCK = 2000
+
+
+def seed_states(count: int, seed: int, block: int = SEED_BLOCK) -> Iterator[tuple[int, int, bytes]]:
+    """(first, rows, state of the generator) of each block of seeds. Seeds are drawn in order; only the states are kept."""
     rng = random.Random(seed)
-    seeds = spark.createDataFrame(pd.DataFrame({"i": range(count), "random_seed": [rng.randint(0, 2**31) for _ in range(count)]}))
+    for first in range(0, count, block):
+        rows = min(block, count - first)
+        yield first, rows, pickle.dumps(rng.getstate())
+        for _ in range(rows if first + rows < count else 0):
+            rng.randint(0, 2**31)
+
+
+def personas(spark: SparkSession, count: int, domains: Domains, seed: int = MASTER_SEED, cell_seed: int = CELL_SEED) -> DataFrame:
+    """`count` personas, reproducible by row: cell and seed depend on the row's number alone."""
+    professions, topics, educations = shuffled_axes(domains, cell_seed)
+    states = spark.createDataFrame(list(seed_states(count, seed)), "first long, rows int, state binary")
+    names = ["persona_id", "age", "gender", "location", "profession", "social_status", "backstory", "education", "pain_point", "random_seed"]
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            made = [make_persona(int(s), (p, t, e), domains) for s, p, t, e in zip(pdf["random_seed"], pdf["profession"], pdf["pain_point"], pdf["education"])]
-            out = pd.DataFrame(made)
-            out["random_seed"], out["persona_id"] = pdf["random_seed"].to_numpy(), pdf["i"].to_numpy() + 1
-            yield out[["persona_id", "age", "gender", "location", "profession", "social_status", "backstory", "education", "pain_point", "random_seed"]]
-
-    rows = cells.join(seeds, "i").mapInPandas(build, "persona_id long, age int, gender string, location string, profession string, social_status string, backstory string, education string, pain_point string, random_seed long")
+            for first, rows, state in zip(pdf["first"], pdf["rows"], pdf["state"]):
+                rng = random.Random()
+                rng.setstate(pickle.loads(state))
+                made = []
+                for i in range(first, first + rows):
+                    drawn = rng.randint(0, 2**31)
+                    cell = professions[i * 7 % len(professions)], topics[i * 13 % len(topics)], educations[i * 11 % len(educations)]
+                    made.append({**make_persona(drawn, cell, domains), "random_seed": drawn, "persona_id": i + 1})
+                yield pd.DataFrame(made)[names]
+
+    parts = max(1, -(-count // SEED_BLOCK))
+    rows = states.repartition(parts).mapInPandas(build, "persona_id long, age int, gender string, location string, profession string, social_status string, backstory string, education string, pain_point string, random_seed long")
     meta = F.struct(*[F.col(c) for c in ("age", "gender", "location", "profession", "social_status", "education", "pain_point", "random_seed")])
     return rows.select("persona_id", "age", "gender", "location", "profession", "social_status", "backstory", meta.alias("json_metadata"), F.lit(False).alias("processed"), F.lit("pending").alias("status"), F.lit(0).alias("attempts"), F.lit(None).cast("string").alias("error"))

@@ -20,9 +20,13 @@ BANNED_EXACT = ["অনুগ্রহপূর্বক", "এতদ্বা
 
 
 @F.pandas_udf(T.StringType())
-def nfkc(texts: pd.Series) -> pd.Series:
-    """Unicode NFKC, in Arrow batches. ASCII texts are their own normal form."""
-    return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
+def _normalized(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
+
+def nfkc(text: Column) -> Column:
+    """Unicode NFKC. ASCII texts are their own normal form, so only others go through Python, in Arrow batches."""
+    return F.coalesce(_normalized(F.when(F.octet_length(text) > F.length(text), text)), text)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -73,9 +77,13 @@ def strip_think(text: Column) -> Column:
     return F.regexp_replace(text, r"(?is)<think>.*?</think>", "")
 
 
+#: Short tags that models leave in a text. Fixed value.
+SHORT_TAG = r"</?[a-zA-Z][\w\-]{0,30}>"
+
+
 def strip_litter(text: Column, tag: str) -> Column:
     """Drop whatever is in angle brackets and names `tag`, then short tags."""
-    return F.regexp_replace(F.regexp_replace(text, rf"(?i)<[^>]*{tag}[^>]*>", ""), r"(?U)</?[a-zA-Z][\w\-]{0,30}>", "")
+    return F.regexp_replace(F.regexp_replace(text, rf"(?i)<[^>]*{tag}[^>]*>", ""), "(?U)" + SHORT_TAG, "")
 
 
 #: How a leaked monologue begins. Fixed value.
@@ -138,6 +146,6 @@ def or_default(value: Column, default: str) -> Column:
 
 def meta_field(df_columns: list[str], name: str, meta: str = "json_metadata") -> Column:
     """A metadata field, else the row's own column of that name, else 'unknown'."""
-    chain = [F.col(f"{meta}.{name}")] if meta in df_columns else []
+    chain = [F.get_json_object(F.to_json(meta), f"$.{name}")] if meta in df_columns else []
     chain += [F.col(name).cast("string")] if name in df_columns else []
     return F.coalesce(*[c.cast("string") for c in chain], F.lit("unknown"))

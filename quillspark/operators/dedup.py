@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import dot
+from quillspark.sources.store import scratch
 
 
 def exact_duplicates(df: DataFrame, hash_col: str, order: list[str], scope: list[str] | None = None) -> DataFrame:
@@ -19,23 +20,38 @@ def exact_duplicates(df: DataFrame, hash_col: str, order: list[str], scope: list
     return df.join(first, keys, "left").withColumn("duplicate", F.coalesce(F.struct(*order) != F.col("__first"), F.lit(False))).drop("__first")
 
 
-def seen_before(batch: DataFrame, earlier: DataFrame, hash_col: str) -> DataFrame:
-    """Rows of batch whose hash an earlier batch of the run has."""
-    return batch.join(earlier.select(hash_col).distinct(), hash_col, "left_semi")
+def places(rows: DataFrame, cluster: list[str], seq: str, path: str) -> DataFrame:
+    """(cluster, seq, __place): the place from 0 of each record in its cluster, by order of seq.
+
+    Keys alone are sorted, by range partitions, so a cluster of any size is
+    spread; they are kept under `path`, as a second sort might cut elsewhere.
+    """
+    keys = rows.select(*cluster, seq).repartitionByRange(*cluster, seq).withColumn("__part", F.spark_partition_id())
+    keys.write.parquet(path)
+    keys = rows.sparkSession.read.parquet(path)
+    counts = keys.groupBy(*cluster, "__part").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(*cluster).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(cluster)], F.col("__part").alias("__p"), F.coalesce(before, F.lit(0)).alias("__before"))
+    same = F.col("__part") == F.col("__p")
+    for i, c in enumerate(cluster):
+        same = same & F.col(c).eqNullSafe(F.col(f"__c{i}"))
+    within = F.row_number().over(Window.partitionBy(*cluster, "__part").orderBy(seq)) - 1
+    return keys.withColumn("__within", within).join(counts, same).select(*cluster, seq, (F.col("__before") + F.col("__within")).alias("__place"))
 
 
 def near_duplicates(rows: DataFrame, cluster: list[str], seq: str, vec: str, threshold: float = 0.92, recent: int = 500) -> DataFrame:
     """rows with `near_dup`: one of the `recent` records before it in its cluster is within the threshold.
 
     Recency is a bound on places: record n meets records n-recent .. n-1 of its
-    cluster (null vectors take a place, then match nothing). Places are cut
-    into blocks of `recent`; a record meets only its own block and the one
-    before, so a cluster of any size is spread over many tasks.
+    cluster (null vectors take a place, then match nothing). `seq` tells records
+    apart. Places are found over the keys alone, then cut into blocks of
+    `recent`; a record meets only its own block and the one before, so a cluster
+    of any size is spread over many tasks.
     """
-    place = F.row_number().over(Window.partitionBy(*cluster).orderBy(seq)) - 1
-    placed = rows.withColumn("__place", place).withColumn("__block", F.floor(F.col("__place") / recent))
-    left = placed.where(F.col(vec).isNotNull()).select(*cluster, seq, F.col(vec).alias("__a"), F.col("__place").alias("__pa"), F.explode(F.array(F.col("__block"), F.col("__block") - 1)).alias("__block"))
-    right = placed.where(F.col(vec).isNotNull()).select(*cluster, F.col(vec).alias("__b"), F.col("__place").alias("__pb"), "__block")
+    place = places(rows, cluster, seq, scratch(rows.sparkSession, "places")).select(F.col(seq).alias("__seq"), "__place")
+    placed = rows.where(F.col(vec).isNotNull()).join(place, F.col(seq) == F.col("__seq")).withColumn("__block", F.floor(F.col("__place") / recent))
+    left = placed.select(*cluster, seq, F.col(vec).alias("__a"), F.col("__place").alias("__pa"), F.explode(F.array(F.col("__block"), F.col("__block") - 1)).alias("__block"))
+    right = placed.select(*cluster, F.col(vec).alias("__b"), F.col("__place").alias("__pb"), "__block")
     near = left.join(right, [*cluster, "__block"]).where((F.col("__pb") < F.col("__pa")) & (F.col("__pb") >= F.col("__pa") - recent)).where(dot(F.col("__a"), F.col("__b")) >= threshold)
     hits = near.select(seq).distinct().withColumn("near_dup", F.lit(True))
     return rows.join(hits, seq, "left").withColumn("near_dup", F.coalesce("near_dup", F.lit(False)))

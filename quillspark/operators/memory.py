@@ -25,6 +25,13 @@ def prime(questions: DataFrame, personas: DataFrame) -> DataFrame:
     )
 
 
+def recent(memory: DataFrame, batch: DataFrame, cluster: list[str], most: int = 500, seq: str = "seq") -> DataFrame:
+    """The last `most` records of each cluster that the batch touches: all that its rows may be compared with."""
+    touched = memory.join(batch.select(*cluster).distinct(), cluster, "left_semi")
+    rank = F.row_number().over(Window.partitionBy(*cluster).orderBy(F.desc(seq)))
+    return touched.withColumn("__r", rank).where(F.col("__r") <= most).drop("__r")
+
+
 def overused_openers(memory: DataFrame, cluster: list[str], top: int = 5, repeats: int = 2, seq: str = "seq") -> DataFrame:
     """The `top` most frequent openers of each cluster seen at least `repeats` times; ties to the first seen."""
     counted = memory.where(F.col("opener").isNotNull() & (F.col("opener") != "")).groupBy(*cluster, "opener").agg(F.count("*").alias("n"), F.min(seq).alias("first_seq")).where(F.col("n") >= repeats)

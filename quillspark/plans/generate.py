@@ -8,11 +8,16 @@ within a batch is by persona id.
 
 from __future__ import annotations
 
+import logging
+import re
+import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark import schemas
@@ -21,9 +26,11 @@ from quillspark.functions import parsers
 from quillspark.functions import text as tx
 from quillspark.operators import attempts, dedup, memory
 from quillspark.plans import prompts
+from quillspark.plans.reports import format_eta
 from quillspark.sources.llm import Chat
 from quillspark.sources.store import Store
 
+log = logging.getLogger("quillspark")
 ATTEMPT = "struct<no:int,text:string,judge_raw:string,seed:bigint>"
 
 
@@ -37,8 +44,7 @@ def _gate(text: str, settings: Settings) -> tuple[bool, float]:
 
 
 def _draft_of(reply: str) -> str:
-    import re
-
+    """The draft of `tx.last_draft`, for the loop."""
     clean = re.sub(r"(?is)<think>.*?</think>", "", reply or "").strip()
     blocks = re.findall(r"(?s)<draft_questions>(.*?)</draft_questions>", clean)
     if blocks:
@@ -46,7 +52,7 @@ def _draft_of(reply: str) -> str:
     if re.match(tx.MONOLOGUE, clean):
         return ""
     clean = re.sub(r"(?i)<[^>]*draft_questions[^>]*>", "", clean)
-    return re.sub(r"</?[a-zA-Z][\w\-]{0,30}>", "", clean).strip()
+    return re.sub(tx.SHORT_TAG, "", clean).strip()
 
 
 def _fill(template: str, values: dict) -> str:
@@ -126,14 +132,39 @@ class Generator:
 
         return df.withColumn("embedding", vectors.asNondeterministic()("question_text"))
 
+    def _claim(self, batch_id: int, people: DataFrame) -> DataFrame:
+        """(persona_id, attempts) of the batch: claimed earlier by this run and not finished, or claimed now.
+
+        A persona with a saved question is done, whatever the log says: the
+        question is what commits it. Numbers of the log go on over all runs.
+        """
+        store = self.store
+        if not store.has_batch("status_log", self.run_id, batch_id * 2):
+            with store.lock("claim"):
+                log = store.read("status_log")
+                live = (*store.live_runs(), self.run_id)
+                todo = attempts.pending(people, log, live).join(store.read("questions").select("persona_id"), "persona_id", "left_anti")
+                last = log.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("m")).first()["m"]
+                store.write_batch("status_log", self._mark(attempts.claim(todo, self.settings.batch_size), F.lit("processing"), last + 1, batch_id), self.run_id, batch_id * 2)
+        return store.read_batch("status_log", self.run_id, batch_id * 2)
+
+    def _mark(self, df: DataFrame, status: Column, seq: int, batch_id: int, error: Column | None = None) -> DataFrame:
+        error = F.lit(None).cast("string") if error is None else error
+        return df.select("persona_id", F.lit(seq).cast("long").alias("seq"), F.lit(self.run_id).alias("run_id"), F.lit(batch_id).cast("long").alias("batch_id"), status.alias("status"), F.col("attempts").cast("int").alias("attempts"), error.alias("error"))
+
     def run_batch(self, batch_id: int) -> dict[str, int]:
         """Claim and process one batch; returns counts by outcome, empty if nothing was pending."""
         s, store = self.settings, self.store
+        store.beat(self.run_id)
         people = store.read("personas")
-        todo = attempts.claim(attempts.pending(people, store.read("status_log")), s.batch_size)
+        claimed = self._claim(batch_id, people)
+        if claimed.isEmpty():
+            return {}
+        seq = claimed.agg(F.max("seq").alias("m")).first()["m"] + 1
+        todo = people.drop("attempts").join(claimed.select("persona_id", "attempts"), "persona_id")
         meta = lambda n: F.col(f"json_metadata.{n}")
         asked = todo.select("persona_id", "attempts", meta("random_seed").alias("random_seed"), meta("profession").alias("profession"), meta("location").alias("location"), meta("education").alias("education"), meta("pain_point").alias("topic"), meta("location").alias("region"), "backstory")
-        known = store.read("memory")
+        known = store.read("memory", but=(self.run_id, batch_id))
         if s.memory_enabled:
             asked = memory.context(asked, known, s)
         else:
@@ -141,19 +172,12 @@ class Generator:
             asked = asked.withColumns({"avoid_openers": none, "exemplars": none})
         shown = prompts.persona_json(["profession", "location", "education", "topic", "backstory"])
         asked = asked.withColumn("prompt", prompts.draft_prompt(shown, F.col("avoid_openers"), F.col("exemplars")))
-        seq = batch_id * 10 + 1
-        mark = lambda df, status, step, error=None: df.select("persona_id", F.lit(seq + step).cast("long").alias("seq"), F.lit(self.run_id).alias("run_id"), F.lit(batch_id).cast("long").alias("batch_id"), status.alias("status"), F.col("attempts").cast("int").alias("attempts"), (error if error is not None else F.lit(None).cast("string")).alias("error"))
-        store.write_batch("status_log", mark(asked, F.lit("processing"), 0), self.run_id, batch_id * 2)
-        claimed = store.read("status_log").where((F.col("run_id") == self.run_id) & (F.col("batch_id") == batch_id) & (F.col("status") == "processing"))
-        asked = asked.join(claimed.select("persona_id"), "persona_id", "left_semi")
-        if claimed.isEmpty():
-            return {}
         work = f"{store.root}/_work/_run={self.run_id}/_batch={batch_id}"
         if not store._exists(work + "/_SUCCESS"):  # a batch that is run again never repeats its calls
             attempt_stage(asked, self.chat, s).write.mode("overwrite").parquet(work)
         outcome = store.spark.read.parquet(work).join(people.select("persona_id", "json_metadata"), "persona_id").join(claimed.select("persona_id", "attempts"), "persona_id")
         best = attempts.best_attempt(judged_attempts(outcome, s), "persona_id", "passed", "ratio", "no", ["text", "gate", "judge"])
-        earlier = store.read("questions")
+        earlier = store.read("questions", but=(self.run_id, batch_id))
         start = earlier.agg(F.coalesce(F.max("question_id"), F.lit(0)).alias("m")).first()["m"]
         fresh = best.join(outcome.where(F.col("error").isNull()), "persona_id").withColumnRenamed("text", "question_text")
         fresh = fresh.withColumn("question_id", F.row_number().over(Window.orderBy("persona_id")) + F.lit(start)).withColumn("dedup_hash", tx.dedup_hash(F.col("question_text")))
@@ -165,7 +189,8 @@ class Generator:
         fresh = fresh.join(before, "dedup_hash", "left").withColumn("duplicate", F.col("duplicate") | F.coalesce("seen", F.lit(False)))
         place = fresh.select(F.col("question_id").alias("seq"), F.col("embedding").alias("vec"), F.col("json_metadata.profession").alias("profession"), F.col("json_metadata.location").alias("region"))
         if s.memory_enabled:
-            near = dedup.near_duplicates(known.select("seq", "vec", "profession", "region").union(place), ["profession", "region"], "seq", "vec", s.near_dup_threshold, s.near_dup_recent)
+            recent = memory.recent(known, place, ["profession", "region"], s.near_dup_recent)
+            near = dedup.near_duplicates(recent.select("seq", "vec", "profession", "region").union(place), ["profession", "region"], "seq", "vec", s.near_dup_threshold, s.near_dup_recent)
             fresh = fresh.join(near.select(F.col("seq").alias("question_id"), "near_dup"), "question_id")
         else:
             fresh = fresh.withColumn("near_dup", F.lit(False))
@@ -179,23 +204,52 @@ class Generator:
         )
         store.write_batch("questions", rows, self.run_id, batch_id)
         saved = store.spark.read.parquet(f"{store.path('questions')}/_run={self.run_id}/_batch={batch_id}")
-        ended = attempts.after_failure(outcome.where(F.col("error").isNotNull()))
+        ended = attempts.after_failure(outcome.where(F.col("error").isNotNull()), s.max_attempts)
         if s.memory_enabled:
             store.write_batch("memory", memory.prime(saved, people).select(*schemas.MEMORY.fieldNames()), self.run_id, batch_id)
         done = outcome.join(saved.select("persona_id"), "persona_id", "left_semi")
-        log = mark(done, F.lit("done"), 1).union(mark(ended, F.col("status"), 1, F.col("error")))
-        store.write_batch("status_log", log, self.run_id, batch_id * 2 + 1)
+        ends = self._mark(done, F.lit("done"), seq, batch_id).union(self._mark(ended, F.col("status"), seq, batch_id, F.col("error")))
+        store.write_batch("status_log", ends, self.run_id, batch_id * 2 + 1)
         written = store.spark.read.parquet(f"{store.path('status_log')}/_run={self.run_id}/_batch={batch_id * 2 + 1}")
         counts = {r["status"]: r["count"] for r in written.groupBy("status").count().collect()}
         flagged = saved.agg(F.count_if("quality_flags.duplicate").alias("dup"), F.count_if("quality_flags.near_dup").alias("near_dup")).first()
         return {"ok": counts.get("done", 0), "retry": counts.get("pending", 0), "failed": counts.get("failed", 0), "dup": flagged["dup"], "near_dup": flagged["near_dup"]}
 
-    def run(self, max_batches: int = 1_000_000) -> dict[str, int]:
-        """Batches until nothing is pending."""
-        total = {"ok": 0, "retry": 0, "failed": 0, "dup": 0, "near_dup": 0}
-        for batch_id in range(max_batches):
-            got = self.run_batch(batch_id)
-            if not got:
-                break
-            total = {k: total[k] + got[k] for k in total}
+    def run(self, max_batches: int = 1_000_000, progress: Callable[[str], None] | None = None) -> dict[str, int]:
+        """Batches until nothing is pending. A batch that cannot be written is counted; its personas stay claimed until the next run."""
+        total = {"ok": 0, "retry": 0, "failed": 0, "dup": 0, "near_dup": 0, "write_errors": 0}
+        store, begin = self.store, self.store.next_batch("status_log", self.run_id) // 2
+        if begin and not store.has_batch("status_log", self.run_id, begin * 2 - 1):
+            begin -= 1  # claimed, but not finished
+        pace = Progress(lambda: attempts.pending(store.read("personas"), store.read("status_log"), (self.run_id,)).count()) if progress else None
+        try:
+            for batch_id in range(begin, begin + max_batches):
+                try:
+                    got = self.run_batch(batch_id)
+                except (Py4JJavaError, PySparkException, OSError) as error:
+                    log.error("batch %d was not written: %s", batch_id, str(error)[:500])
+                    if not store.has_batch("status_log", self.run_id, batch_id * 2):
+                        raise  # nothing is claimed, so the next try would fail alike
+                    total["write_errors"] += 1
+                    continue
+                if not got:
+                    break
+                total = {k: total[k] + got.get(k, 0) for k in total}
+                if progress and pace:
+                    progress(pace.line(total["ok"] + total["failed"]))
+        finally:
+            store.rest(self.run_id)
         return total
+
+
+class Progress:
+    """Done so far, share, rate and time left. `waiting` counts what there is to do, once, at the start."""
+
+    def __init__(self, waiting: Callable[[], int], clock: Callable[[], float] = time.monotonic):
+        self.clock, self.all, self.began = clock, waiting(), clock()
+
+    def line(self, done: int) -> str:
+        took = self.clock() - self.began
+        rate = done / took if took > 0 else 0.0
+        left = (self.all - done) / rate if rate else None
+        return f"{done:,} of {self.all:,} ({100 * done / self.all if self.all else 100:.1f} %), {rate:.2f} a second, {format_eta(left)} left"

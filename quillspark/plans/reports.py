@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.plans.domains import TOPIC_CATEGORY
@@ -67,6 +67,15 @@ def worst_cohorts(evals: DataFrame, cohort: str, least: int = 20, top: int = 6)
     return grouped.where(F.col("n") >= least).withColumn("fail_pct", pct).orderBy(F.desc("fail_pct"), "cohort").limit(top)
 
 
+def worst_cohorts_of(evals: DataFrame, dimensions: dict[str, Column], least: int = 20, top: int = 6) -> DataFrame:
+    """(dimension, cohort, n, fails, fail_pct): `worst_cohorts` of several dimensions in one scan."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("dimension"), c.cast("string").alias("cohort")) for n, c in dimensions.items()]))
+    grouped = evals.select(pairs.alias("x"), "overall_pass").groupBy("x.dimension", "x.cohort").agg(F.count("*").alias("n"), F.count_if(~F.col("overall_pass")).alias("fails"))
+    pct = F.round((F.lit(100).cast("decimal(20,0)") * F.col("fails") / F.col("n")), 1).cast("double")
+    rank = F.row_number().over(Window.partitionBy("dimension").orderBy(F.desc("fail_pct"), "cohort"))
+    return grouped.where(F.col("n") >= least).withColumn("fail_pct", pct).withColumn("rank", rank).where(F.col("rank") <= top).drop("rank")
+
+
 def sample_reasons(evals: DataFrame, axis: str, n: int = 5, chars: int = 110) -> DataFrame:
     bad = evals.where(~F.col(f"{axis}_pass") & (F.col(f"{axis}_reason") != ""))
     return bad.orderBy("question_id").limit(n).select("question_id", F.substring(f"{axis}_reason", 1, chars).alias("reason"))
@@ -127,8 +136,10 @@ def judge_report(evals: DataFrame, personas: DataFrame, least: int = 20, top: in
         return "no evaluations"
     out = [f"{n}: {p[n]:,} of {p['total']:,} ({100 * p[n] / p['total']:.1f} %)" for n in ("overall", "axis1", "axis2")]
     joined = evals.join(personas.select("persona_id", "json_metadata.*"), "persona_id")
-    for dim in ("profession", "education", "pain_point"):
-        out += [f"Worst by {dim}"] + [f"  {r['cohort']}: {r['fail_pct']} % of {r['n']}" for r in worst_cohorts(joined, dim, least, top).collect()]
+    dims = ("profession", "education", "pain_point")
+    worst = worst_cohorts_of(joined, {d: F.col(d) for d in dims}, least, top).orderBy("dimension", F.desc("fail_pct"), "cohort").collect()
+    for dim in dims:
+        out += [f"Worst by {dim}"] + [f"  {r['cohort']}: {r['fail_pct']} % of {r['n']}" for r in worst if r["dimension"] == dim]
     for axis in ("axis1", "axis2"):
         out += [f"Reasons, {axis}"] + [f"  {r['question_id']}: {r['reason']}" for r in sample_reasons(evals, axis).collect()]
     return "\n".join(out)
@@ -150,9 +161,3 @@ def topic_html(questions: DataFrame, personas: DataFrame, path: str, categories:
     parts = "".join(f"<h3>{cell(g['category'])}</h3><table>" + "".join(f"<tr><td>{cell(r['topic'])}<td>{r['n']:,}<td>{bar(r['n'], most)}</tr>" for r in rows if r["category"] == g["category"]) + "</table>" for g in groups)
     Path(path).write_text(f"<!doctype html><meta charset=utf-8><title>Topics</title><h1>Topics</h1><ul>{body}</ul><h2>Categories</h2><table>{cats}</table>{parts}", encoding="utf-8")
     return path
-
-
-def register(spark: SparkSession, **tables: DataFrame) -> None:
-    """Make tables available to spark.sql."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)

@@ -47,7 +47,7 @@ def _memory(spark, sf_dir) -> DataFrame:
 def _saved_memory(spark, sf_dir) -> DataFrame:
     """The memory table, written once: its readers join it to itself several times."""
     path = scratch(spark, "memory")
-    _memory(spark, sf_dir).drop("text").withColumn("text", F.col("opener")).write.parquet(path)
+    _memory(spark, sf_dir).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -146,7 +146,7 @@ def script_ratio_gate(spark, sf_dir):
 
 def _wrapped(spark, sf_dir) -> DataFrame:
     """Replies built from documents: drafts, thoughts, monologues and litter by id."""
-    text = F.substring("text", 1, 200)
+    text = F.col("text")
     kind = F.pmod(F.col("doc_id"), F.lit(5))
     reply = (
         F.when(kind == 0, F.concat(F.lit("<think>a\nb</think><draft_questions> one </draft_questions> x <draft_questions>\n"), text, F.lit("</draft_questions>")))
@@ -167,7 +167,7 @@ def strip_think(spark, sf_dir):
 
 
 def tag_litter(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", F.md5(F.regexp_replace("html", r"</?[a-zA-Z][\w\-]{0,30}>", "")).alias("text_md5"))
+    return _t(spark, sf_dir, "pages").select("page_id", F.md5(tx.strip_litter(F.col("html"), "draft_questions")).alias("text_md5"))
 
 
 def _replies(spark, sf_dir) -> DataFrame:
@@ -252,6 +252,18 @@ def claim_batch(spark, sf_dir):
     return attempts.claim(attempts.pending(people, _log(spark, sf_dir), ("run1",)), 100)
 
 
+def resume_status(spark, sf_dir):
+    """All that a new run has to work on, after what others left behind."""
+    people = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("persona_id"))
+    return attempts.pending(people, _log(spark, sf_dir), ("run1",)).select("persona_id", F.col("attempts").cast("int").alias("attempts"))
+
+
+def worst_cohorts_by_dimension(spark, sf_dir):
+    """The worst cohorts of each dimension, in one pass over the judged rows."""
+    judged = _judged(spark, sf_dir).join(_t(spark, sf_dir, "documents").select(F.col("doc_id").alias("question_id"), (F.col("n_chars") % 7).cast("string").alias("topic")), "question_id")
+    return reports.worst_cohorts_of(judged, {"source": F.col("source"), "lang": F.col("lang"), "topic": F.col("topic")})
+
+
 def dead_letter(spark, sf_dir):
     gone = attempts.latest_status(_log(spark, sf_dir)).where(F.col("status") == "processing")
     return attempts.after_failure(gone).select("persona_id", "attempts", "status")
@@ -259,7 +271,7 @@ def dead_letter(spark, sf_dir):
 
 def prompt_messages(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents")
-    m = prompts.judge_prompt(F.substring("text", 1, 80), F.col("lang"), F.col("source"), F.lit("primary"))
+    m = prompts.judge_prompt(F.col("text"), F.col("lang"), F.col("source"), F.lit("primary"))
     return docs.select("doc_id", F.explode(m).alias("m")).select("doc_id", "m.role", F.md5("m.content").alias("content_md5"))
 
 
@@ -329,7 +341,7 @@ QUERIES = {
         worst_cohorts, judge_pass_rates, unjudged_fetch, unjudged_count, sample_reasons, status_counts, latest_status, coverage_histogram, coverage_histograms,
         quality_summary, hash_duplicate_rate, exact_dup_flags, opener_diversity, overused_openers, tiered_exemplars, near_duplicates, near_duplicates_recent,
         mean_pairwise_cosine, script_ratio_gate, last_draft, strip_think, tag_litter, parse_verdicts, parse_quality_replies, quality_score, best_attempt,
-        stratified_cells, weighted_choice, personas_exact, topic_counts, topic_rollup, topic_evenness, claim_batch, dead_letter, prompt_messages, idempotent_save,
+        stratified_cells, weighted_choice, personas_exact, topic_counts, topic_rollup, topic_evenness, claim_batch, resume_status, worst_cohorts_by_dimension, dead_letter, prompt_messages, idempotent_save,
         orphan_questions, topic_similarity_pairs, share_of_total, generation_loop_stub, csv_roundtrip, streaming_memory, memory_context,
     )
 }
@@ -346,9 +358,9 @@ _LIT = lambda xs: "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs)
 _TOPICS = _LIT([*list(TOPIC_CATEGORY)[:50], *[f"unlisted {i}" for i in range(5)]])
 _TOPIC_COUNTS = f"SELECT ({_TOPICS})[(n_chars % 55 + 1)::INT] AS topic, count(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY 1"
 _CATEGORY = "CASE topic " + " ".join(f"WHEN '{t}' THEN '{c}'" for t, c in TOPIC_CATEGORY.items()) + " ELSE 'Other' END"
-_REPLY = """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '<think>a' || chr(10) || 'b</think><draft_questions> one </draft_questions> x <draft_questions>' || chr(10) || substr(text, 1, 200) || '</draft_questions>'
- WHEN 1 THEN 'Let me think about it. ' || substr(text, 1, 200) WHEN 2 THEN '<m_draft_questions>' || substr(text, 1, 200) || '</p>'
- WHEN 3 THEN '<think>open <draft_questions>' || substr(text, 1, 200) || '</draft_questions>' ELSE substr(text, 1, 200) END AS reply FROM documents"""
+_REPLY = """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '<think>a' || chr(10) || 'b</think><draft_questions> one </draft_questions> x <draft_questions>' || chr(10) || text || '</draft_questions>'
+ WHEN 1 THEN 'Let me think about it. ' || text WHEN 2 THEN '<m_draft_questions>' || text || '</p>'
+ WHEN 3 THEN '<think>open <draft_questions>' || text || '</draft_questions>' ELSE text END AS reply FROM documents"""
 _STRIP = lambda x: rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
 _THINKLESS = "regexp_replace(reply, '(?is)<think>.*?</think>', '', 'g')"
 _STATUS_LOG = "SELECT user_id AS persona_id, event_id AS seq, 'run' || (event_id % 3) AS run_id, (['pending', 'processing', 'done', 'failed', 'pending'])[(event_id % 5 + 1)::INT] AS status, (event_id % 4)::INT AS attempts FROM events"
@@ -386,7 +398,7 @@ SELECT doc_id, md5(CASE WHEN len(b) > 0 THEN {_STRIP("b[-1]")} WHEN regexp_match
   ELSE {_STRIP(r"regexp_replace(regexp_replace(c, '(?i)<[^>]*draft_questions[^>]*>', '', 'g'), '</?[a-zA-Z][\w\-]{0,30}>', '', 'g')")} END) AS draft_md5 FROM d"""
 
 _JUDGE_TEXT = "'" + prompts.JUDGE_USER.replace("'", "''") + "'"
-for _name, _value in (("profession", "lang"), ("location", "source"), ("education", "'primary'"), ("draft", "substr(text, 1, 80)")):
+for _name, _value in (("profession", "lang"), ("location", "source"), ("education", "'primary'"), ("draft", "text")):
     _JUDGE_TEXT = f"replace({_JUDGE_TEXT}, '{{{_name}}}', {_value})"
 
 ORACLE = {
@@ -422,6 +434,8 @@ ORACLE = {
     "topic_rollup": f"WITH c AS (SELECT topic, n, {_CATEGORY} AS category FROM ({_TOPIC_COUNTS})) SELECT category, sum(n)::BIGINT AS n, count(*) AS n_topics, string_agg(topic, '|' ORDER BY n DESC, topic) AS topics, round(100.0::DOUBLE * sum(n)::BIGINT / (sum(sum(n)) OVER ())::BIGINT, 4) AS share_pct FROM c GROUP BY category",
     "topic_evenness": f"WITH c AS (SELECT topic, n, {_CATEGORY} AS category FROM ({_TOPIC_COUNTS})) SELECT sum(n)::BIGINT AS total, min(n) AS least, max(n) AS most, count(*) AS topics, count(DISTINCT category) AS categories, round(max(n)::DOUBLE / min(n), 6) AS evenness FROM c",
     "claim_batch": f"WITH l AS ({_LATEST}) SELECT c_custkey AS persona_id, coalesce(attempts, 0) AS attempts FROM customer LEFT JOIN l ON l.persona_id = c_custkey WHERE status IS NULL OR status = 'pending' OR (status = 'processing' AND run_id <> 'run1') ORDER BY c_custkey LIMIT 100",
+    "resume_status": f"WITH l AS ({_LATEST}) SELECT c_custkey AS persona_id, coalesce(attempts, 0)::INT AS attempts FROM customer LEFT JOIN l ON l.persona_id = c_custkey WHERE status IS NULL OR status = 'pending' OR (status = 'processing' AND run_id <> 'run1')",
+    "worst_cohorts_by_dimension": f"WITH j AS (SELECT source, lang, (n_chars % 7)::VARCHAR AS topic, overall_pass FROM ({_EVALS}) e JOIN documents d ON d.doc_id = e.question_id), u AS (SELECT 'source' AS dimension, source AS cohort, overall_pass FROM j UNION ALL SELECT 'lang', lang, overall_pass FROM j UNION ALL SELECT 'topic', topic, overall_pass FROM j), g AS (SELECT dimension, cohort, count(*) AS n, count(*) FILTER (WHERE NOT overall_pass) AS fails, round(100.0 * count(*) FILTER (WHERE NOT overall_pass) / count(*), 1)::DOUBLE AS fail_pct FROM u GROUP BY 1, 2 HAVING count(*) >= 20) SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY dimension ORDER BY fail_pct DESC, cohort) <= 6",
     "dead_letter": f"SELECT persona_id, attempts + 1 AS attempts, CASE WHEN attempts + 1 >= 3 THEN 'failed' ELSE 'pending' END AS status FROM ({_LATEST}) WHERE status = 'processing'",
     "prompt_messages": f"SELECT doc_id, 'system' AS role, md5('{prompts.JUDGE_SYSTEM}') AS content_md5 FROM documents UNION ALL SELECT doc_id, 'user', md5({_JUDGE_TEXT}) FROM documents",
     "idempotent_save": "SELECT doc_id AS question_id, quality, toxic FROM labels WHERE doc_id % 3 <> 0",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import time
@@ -48,6 +49,71 @@ class HttpChat:
         raise ChatError(f"no reply after {self.tries} tries: {last}")
 
 
+@dataclass(frozen=True)
+class HttpEmbedder:
+    """An embeddings endpoint; vectors come back with unit length. Null for a text if all tries fail, so a run goes on without."""
+
+    url: str
+    model: str
+    key: str = ""
+    timeout: float = 60.0
+    tries: int = 3
+    batch: int = 64
+
+    def __call__(self, texts: list[str]) -> list[list[float] | None]:
+        out: list[list[float] | None] = []
+        for i in range(0, len(texts), self.batch):
+            part = texts[i : i + self.batch]
+            out += self._ask(part) or [None] * len(part)
+        return out
+
+    def _ask(self, texts: list[str]) -> list[list[float]] | None:
+        head = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.key}"} if self.key else {})
+        for k in range(self.tries):
+            try:
+                request = urllib.request.Request(self.url, json.dumps({"model": self.model, "input": texts}).encode(), head)
+                with urllib.request.urlopen(request, timeout=self.timeout) as reply:
+                    rows = sorted(json.load(reply)["data"], key=lambda r: r["index"])
+                if len(rows) == len(texts):
+                    return [unit(r["embedding"]) for r in rows]
+            except (urllib.error.URLError, TimeoutError, OSError, KeyError, ValueError):
+                pass
+            if k + 1 < self.tries:
+                time.sleep(2**k)
+        return None
+
+
+@dataclass(frozen=True)
+class LocalEmbedder:
+    """A sentence-transformers model, loaded once per worker; null vectors where the package or the model is missing."""
+
+    model: str
+    device: str | None = None
+
+    def __call__(self, texts: list[str]) -> list[list[float] | None]:
+        encoder = _encoder(self.model, self.device)
+        return [None] * len(texts) if encoder is None else [unit(v) for v in encoder.encode(texts)]
+
+
+@functools.cache
+def _encoder(model: str, device: str | None):
+    try:
+        from sentence_transformers import SentenceTransformer
+    except ImportError:
+        return None
+    for place in dict.fromkeys((device, "cpu")):  # the device asked for (or the best), then the processor
+        try:
+            return SentenceTransformer(model, device=place)
+        except (OSError, RuntimeError, ValueError):
+            continue
+    return None
+
+
+def unit(vector) -> list[float]:
+    size = sum(float(x) ** 2 for x in vector) ** 0.5 or 1.0
+    return [float(x) / size for x in vector]
+
+
 @dataclass(frozen=True)
 class StubChat:
     """Deterministic replies by a hash of the last message and the seed; for tests and dry runs.

@@ -33,11 +33,3 @@ def stream_memory(spark: SparkSession, source: str, schema: str, target: str, ch
         fresh.write.mode("overwrite").parquet(f"{target}/_batch={batch_id}")
 
     return rows.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def running_status(spark: SparkSession, source: str, schema: str, glob: str | None = None) -> DataFrame:
-    """A streaming count of rows by event type, for progress displays."""
-    reader = spark.readStream.schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(source).groupBy("event_type").agg(F.count("*").alias("n"))

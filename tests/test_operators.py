@@ -36,6 +36,33 @@ def test_personas_repeat(spark):
     assert all(18 <= r["age"] <= 80 and r["json_metadata"]["random_seed"] <= 2**31 for r in a)
 
 
+def test_personas_are_those_of_one_generator(spark):
+    import random as rnd
+
+    d = Domains()
+    cell, seeds = rnd.Random(43), rnd.Random(42)
+    axes = [list(d.professions), list(d.topics), list(d.educations)]
+    for axis in axes:
+        cell.shuffle(axis)
+    got = sampling.personas(spark, 4100, d).orderBy("persona_id").collect()  # more than two blocks of seeds
+    assert [r["persona_id"] for r in got] == list(range(1, 4101))
+    for i, r in enumerate(got):
+        seed = seeds.randint(0, 2**31)
+        assert r["json_metadata"]["random_seed"] == seed
+        assert (r["profession"], r["json_metadata"]["pain_point"], r["json_metadata"]["education"]) == tuple(a[i * k % len(a)] for a, k in zip(axes, (7, 13, 11)))
+        if i % 500 == 0:  # drawn anew, step by step
+            g = rnd.Random(seed)
+            low, high = g.choices(d.age_ranges, weights=d.age_weights)[0]
+            assert r["age"] == g.randint(low, high)
+            assert r["gender"] == g.choices(d.genders, weights=d.gender_weights)[0]
+            assert r["social_status"] == g.choices(d.statuses, weights=d.status_weights)[0]
+            assert r["location"] == g.choices(d.regions, weights=d.region_weights)[0]
+            detail, size, years = g.choice(d.life_details), g.randint(2, 8), g.randint(1, 30)
+            detail = detail.replace("{location}", r["location"]).replace("{family_size}", str(size)).replace("{years_exp}", str(years))
+            assert detail in r["backstory"] and f"Education: {r['json_metadata']['education']}." in r["backstory"]
+            assert g.choice(d.backstories)[:6].split("{")[0] in r["backstory"]
+
+
 def test_best_attempt_keeps_the_first_of_ties(spark):
     rows = [(1, False, 0.9, 0, "a"), (1, False, 0.9, 1, "b"), (1, False, 0.7, 2, "c"), (2, False, 0.99, 0, "d"), (2, True, 0.7, 1, "e")]
     got = attempts.best_attempt(spark.createDataFrame(rows, "k int, passed boolean, ratio double, no int, text string"), "k", "passed", "ratio", "no", ["text"])

@@ -104,3 +104,51 @@ def test_score_and_dot(spark):
 
 def test_normal_form_is_sha1(spark):
     assert one(spark, "Ab, c!", tx.dedup_hash(F.col("t"))) == hashlib.sha1(b"ab c").hexdigest()
+
+
+def plain_spans(text):
+    """Balanced top-level parts, character by character."""
+    out, open_ = [], []
+    for i, c in enumerate(text):
+        if c == "{":
+            open_.append(i)
+        elif c == "}" and open_:
+            begin = open_.pop()
+            if not open_:
+                out.append(text[begin : i + 1])
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="{}a\"", max_size=40))
+def test_brace_spans_match_a_scanner(text):
+    assert list(parsers.brace_spans(text)) == plain_spans(text)
+
+
+def test_unused_by_queries_but_offered(spark):
+    from quillspark.plans import prompts
+
+    assert one(spark, "x <t> in\nside </t> <t>b</t>", tx.extract_tag(F.col("t"), "t")) == "in\nside" and one(spark, "x", tx.extract_tag(F.col("t"), "t")) is None
+    assert one(spark, "a ```json\n{1}``` ```two```", tx.code_fence(F.col("t"))) == "{1}" and one(spark, "plain", tx.code_fence(F.col("t"))) == "plain"
+    assert one(spark, 'x } {"a": {}} {', parsers.brace_objects(F.col("t"))) == ['{"a": {}}']
+    row = spark.createDataFrame([("p", None)], "profession string, json_metadata struct<profession:string,education:string>")
+    assert row.select(tx.meta_field(row.columns, "profession"), tx.meta_field(row.columns, "education"), tx.meta_field(row.columns, "other")).first()[:] == ("p", "unknown", "unknown")
+    lit = F.lit
+    for fail in (True, False):
+        got = one(spark, "d", prompts.rewrite_prompt(F.col("t"), lit("stiff"), lit(fail), lit("p"), lit("l"), lit("e")))
+        assert [m["role"] for m in got] == ["system", "user"] and "stiff" in got[1]["content"] and ("transliteration" in got[1]["content"]) == fail
+
+
+def test_nfkc_leaves_ascii_alone(spark):
+    got = spark.createDataFrame([("ＮＩＤ",), ("plain",), (None,), ("",)], "t string").select(tx.nfkc(F.col("t")).alias("x")).collect()
+    assert [r["x"] for r in got] == ["NID", "plain", None, ""]
+
+
+def test_domains_from_json():
+    from quillspark.plans.domains import Domains
+
+    d = Domains.from_json('{"regions": ["a", "b"], "region_weights": [1, 2], "age_ranges": [[1, 2]], "age_weights": [1]}')
+    assert d.regions == ("a", "b") and d.age_ranges == ((1, 2),) and d.genders == ("male", "female", "other")
+    for bad in ('{"regions": ["a"]}', '{"none": []}'):
+        with pytest.raises(ValueError):
+            Domains.from_json(bad)
