@@ -104,8 +104,9 @@ def pack_group(pdf: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFram
         b, place = bins.put(-size, cluster_of.get(cluster, -1), source_of[source])
         at.append((doc, k, begin, -size, b, place))
     out += [(doc, k, begin, n, f"{group}-{b}", place, bins.used[b]) for doc, k, begin, n, b, place in at]
-    frame = pd.DataFrame(out, columns=["doc_id", "piece", "first_word", "n_words", "bin", "place", "bin_words"])
-    return frame.astype({"doc_id": "Int64", "piece": "int32", "place": "Int64", "bin_words": "Int64"})
+    kinds = {"doc_id": "Int64", "piece": "int32", "first_word": "int64", "n_words": "int64", "bin": "object", "place": "Int64", "bin_words": "Int64"}
+    # Column by column: as one frame, ids beside a null would pass through floating point.
+    return pd.DataFrame({name: pd.array([row[i] for row in out], dtype=kind) for i, (name, kind) in enumerate(kinds.items())})
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, group_rows: int = GROUP_ROWS) -> DataFrame:
