@@ -20,7 +20,7 @@ token is a sum over the grams that end at it and their contexts: the root's
 log p, log of the back-off weight of each retained context, and for each kept
 (s, w) log of p(w | s) / (weight of s * p(w | suffix of s)). So a text's score
 is the sum of one value per gram in it, found by a join per (row, gram).
-Frequent keys are broadcast (`HOT_ROWS` at most), which keeps hot keys out of
+Frequent keys are broadcast (`HOT_ROWS` of them at most), which keeps hot keys out of
 the join. Bitmaps of fixed size spare lookups that would fail.
 
 Texts are read once per level and twice more, in Arrow batches, and never
@@ -42,9 +42,9 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import forget, hash_of, materialize, mix, release, slices, text_or_empty, tokenize
 
-LEAST_CONTEXT, LEAST_COUNT, DIVERGENCE, BACKOFF = 32, 4, 8.0, 4.0
-#: So many entries, the most frequent, are broadcast instead of joined at most; results do not depend on it.
-HOT_ROWS = 1 << 20
+LEAST_CONTEXT, LEAST_COUNT, DIVERGENCE, BACKOFF = 64, 16, 8.0, 4.0
+#: Entries that occur so often are broadcast instead of joined, the most frequent HOT_ROWS at most; results do not depend on either.
+HOT_COUNT, HOT_ROWS = 16, 3 << 19
 #: Tokens in the longest contexts.
 MOST_DEPTH = 3
 #: Least and greatest size (as a power of two) of the bitmaps that spare tasks rows that would match nothing; results do not depend on it.
@@ -112,22 +112,23 @@ def _find(values: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def _hot(counted: DataFrame) -> DataFrame:
-    """The entries that are broadcast: those from a power of two up, the least that leaves HOT_ROWS at most."""
-    power = F.floor(F.log2("n")).cast("int").alias("power")
-    cut, held = 64, 0
-    for r in counted.groupBy(power).agg(F.count("*").alias("c")).orderBy(F.desc("power")).collect():  # 64 rows at most
+    """The entries that are broadcast: those from HOT_COUNT up, or from the least count that leaves HOT_ROWS at most."""
+    # Counts up to 4,095 by themselves, larger ones by powers of two: a few thousand rows go to the driver.
+    step = F.when(F.col("n") < 4096, F.col("n")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("n"))).cast("long")).alias("step")
+    cut, held = 2**62, 0
+    for r in counted.where(F.col("n") >= HOT_COUNT).groupBy(step).agg(F.count("*").alias("c")).orderBy(F.desc("step")).collect():
         held += r["c"]
         if held > HOT_ROWS:
             break
-        cut = r["power"]
-    return counted.where(F.floor(F.log2("n")) >= cut)
+        cut = r["step"]
+    return counted.where(F.col("n") >= cut)
 
 
 class _Places:
     """Finds places in sorted values by one look into a table; only what shares a slot is searched for."""
 
     def __init__(self, values: np.ndarray):
-        self.values, self.bits = values, max(10, len(values).bit_length() + 2)
+        self.values, self.bits = values, max(10, len(values).bit_length() + 1)
         self.table = np.zeros(1 << self.bits, np.int32)
         self.table[_slots(values, self.bits)] = np.arange(len(values), dtype=np.int32)
 
@@ -202,7 +203,7 @@ class _PairCounter:
         self.context.append(context)
         self.low.append(low)
         self.size += len(context)
-        if self.size > 8 * _FLUSH:
+        if self.size > 4 * _FLUSH:
             yield from self.rest()
 
     def rest(self) -> Iterator[pa.RecordBatch]:

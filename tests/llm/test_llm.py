@@ -792,13 +792,13 @@ def test_licenses_against_containment(spark):
     assert {"GPL-2.0", "GPL-3.0"} <= got[1] and got[2] == {"GPL-3.0"}
 
 
-def plain_tree(texts, depth, context=op10.LEAST_CONTEXT):
+def plain_tree(texts, depth):
     """Scores in log10 of a text under a suffix tree with absolute least counts, by brute force; p; and the contexts kept."""
     docs = [[*t.split(), None] for t in texts]
     grams = Counter(tuple(d[i : i + n]) for d in docs for n in range(1, depth + 2) for i in range(len(d) - n + 1))
     follow = {}
     for g, c in grams.items():
-        if len(g) > 1 and c >= op10.LEAST_COUNT and grams[g[:-1]] >= context:
+        if len(g) > 1 and c >= op10.LEAST_COUNT and grams[g[:-1]] >= op10.LEAST_CONTEXT:
             follow.setdefault(g[:-1], {})[g[-1]] = c
     total, size = sum(map(len, docs)), sum(len(g) == 1 for g in grams)
     kept = set()
@@ -833,17 +833,22 @@ def deep_texts():
 
 
 def test_tree_matches_brute_force_whatever_is_frequent(spark, monkeypatch):
+    monkeypatch.setattr(op10, "LEAST_CONTEXT", 16)
+    monkeypatch.setattr(op10, "LEAST_COUNT", 2)
     texts = deep_texts()
     fit = [t for i, t in enumerate(texts, 1) if zlib.crc32(str(i).encode()) % 7 != 2]
     score, _, kept = plain_tree(fit, op10.MOST_DEPTH)
     assert max(map(len, kept)) >= 3
-    for rows in (1 << 20, 40):  # what is broadcast and what is joined must not change scores
+    for rows, least in ((1 << 20, 4), (40, 1), (0, 1)):  # what is broadcast and what is joined must not change scores
         monkeypatch.setattr(op10, "HOT_ROWS", rows)
+        monkeypatch.setattr(op10, "HOT_COUNT", least)
         got = {r["doc_id"]: r["score"] for r in op10.score_documents(spark.createDataFrame(rows_of(*texts), SCHEMA)).collect()}
         assert all(got[i] == pytest.approx(score(t)) for i, t in enumerate(texts, 1))
 
 
-def test_distributions_sum_to_one():
+def test_distributions_sum_to_one(monkeypatch):
+    monkeypatch.setattr(op10, "LEAST_CONTEXT", 16)
+    monkeypatch.setattr(op10, "LEAST_COUNT", 2)
     texts = deep_texts()
     _, p, kept = plain_tree(texts, 4)
     vocabulary = {w for t in texts for w in [*t.split(), None]}
