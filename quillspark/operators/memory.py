@@ -43,10 +43,13 @@ def tiered_exemplars(askers: DataFrame, bank: DataFrame, k: int = 3, key: str =
     """The k best exemplars for each asker: same profession first, then same region, then any; other topics only.
 
     Distinct profiles are answered, not askers, and a tier sees only profiles
-    that the tiers before leave short of k. The bank is reduced first: per
-    profession its k + 1 best topics with k rows each, which is enough whatever
-    topic is left out; beyond that the k best of each profession, region and
-    topic, as what a profile leaves out there is whole groups of these.
+    that the tiers before leave short of k. The bank is reduced first to what
+    may be needed whatever a profile leaves out. A cell is a profession, a
+    region and a topic; a profile leaves out one value of each that the tier
+    does not fix. Of cells that agree in all but one value it leaves out one at
+    most, so the k + 1 best are enough; of those that agree in one value and
+    are left by that rule it leaves out k + 1 for each of the two others, so
+    3k + 2 are enough; and 10k + 6 of all. So the last tier's side is of fixed size.
     """
     cols = ["profession", "region", "topic"]
     best = [F.desc("score"), F.col("seq")]
@@ -56,11 +59,26 @@ def tiered_exemplars(askers: DataFrame, bank: DataFrame, k: int = 3, key: str =
     def top(df: DataFrame, n: int, *group: str) -> DataFrame:
         return df.withColumn("__r", F.row_number().over(Window.partitionBy(*group).orderBy(*best))).where(F.col("__r") <= n).drop("__r")
 
-    per_topic = top(rows, k, "b_profession", "b_topic")
-    heads = top(top(rows, 1, "b_profession", "b_topic"), k + 1, "b_profession").select("b_profession", "b_topic")
-    own = per_topic.join(heads, ["b_profession", "b_topic"], "left_semi")
     rest = top(rows, k, "b_profession", "b_region", "b_topic")
 
+    def reduced(cells: DataFrame, fixed: list[str], free: list[str]) -> DataFrame:
+        """The cells that may be needed among those that agree in `fixed`, which holds no value that is left out."""
+        for f in free:  # all but one free value agree
+            cells = top(cells, k + 1, *fixed, *(x for x in free if x != f))
+        if len(free) == 3:
+            for f in free:
+                cells = top(cells, 3 * k + 2, *fixed, f)
+            return cells.orderBy(*best).limit(10 * k + 6)
+        return top(cells, 3 * k + 2, *fixed) if len(free) == 2 else cells
+
+    cells = top(rows.drop("text"), 1, "b_profession", "b_region", "b_topic")
+    heads = top(top(rows.drop("text"), 1, "b_profession", "b_topic"), k + 1, "b_profession").select("b_profession", "b_topic")
+    own = top(rows, k, "b_profession", "b_topic").join(heads, ["b_profession", "b_topic"], "left_semi")
+    names = ["b_profession", "b_region", "b_topic"]
+    within = lambda found: rest.join(found.select(*names), names, "left_semi")
+    near = within(reduced(cells, ["b_region"], ["b_profession", "b_topic"]))
+    far = F.broadcast(within(reduced(cells, [], names)))
+
     def tier(n: int, short: DataFrame, side: DataFrame, *tests) -> DataFrame:
         test = F.col("topic") != F.col("b_topic")
         for t in tests:
@@ -73,8 +91,8 @@ def tiered_exemplars(askers: DataFrame, bank: DataFrame, k: int = 3, key: str =
 
     job, place = F.col("profession") == F.col("b_profession"), F.col("region") == F.col("b_region")
     found = tier(0, profiles, own, job)
-    found = found.union(tier(1, left_short(found), rest, place, ~job))
-    found = found.union(tier(2, left_short(found), rest, ~job, ~place))
+    found = found.union(tier(1, left_short(found), near, place, ~job))
+    found = found.union(tier(2, left_short(found), far, ~job, ~place))
     order = Window.partitionBy(*cols).orderBy("tier", *best)
     ranks = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return askers.select(key, *cols).join(ranks, cols).select(key, "tier", "score", "seq", "text", "rank")

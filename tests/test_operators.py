@@ -104,6 +104,24 @@ def test_exemplars_match_brute_force(spark):
     assert memory.tiered_exemplars(a, b, 0).count() == 0
 
 
+def test_exemplars_whatever_is_left_out(spark):
+    """Banks in which few values hold most of the best rows, so that a profile may leave out much."""
+    for seed in range(3):
+        rng = random.Random(seed)
+        skew = lambda n: "abcdefgh"[min(int(rng.expovariate(1.2)), n - 1)]
+        bank = [(i, skew(8), skew(5), skew(6), f"t{i}", float(rng.randint(0, 6))) for i in range(250)]
+        askers = [(i, p, r, t) for i, (p, r, t) in enumerate((p, r, t) for p in "abz" for r in "abz" for t in "abz")]
+        b = spark.createDataFrame(bank, "seq long, profession string, region string, topic string, text string, score double")
+        a = spark.createDataFrame(askers, "persona_id long, profession string, region string, topic string")
+        for k in (1, 4):
+            got = {}
+            for x in memory.tiered_exemplars(a, b, k).orderBy("persona_id", "rank").collect():
+                got.setdefault(x["persona_id"], []).append(x["seq"])
+            for i, p, r, t in askers:
+                ranked = sorted((0 if x[1] == p else 1 if x[2] == r else 2, -x[5], x[0]) for x in bank if x[3] != t)
+                assert got[i] == [x[2] for x in ranked[:k]]
+
+
 def test_near_duplicates_match_brute_force(spark):
     rng = random.Random(1)
     rows = [(i, rng.choice("ab"), None if rng.random() < 0.1 else [rng.choice([0.0, 0.6, 0.8]) for _ in range(2)]) for i in range(80)]
