@@ -56,6 +56,7 @@ def main(argv: list[str] | None = None) -> int:
     env = Settings.from_env()
     handlers = [logging.StreamHandler(sys.stdout), *([logging.FileHandler(env.log_file, encoding="utf-8")] if env.log_file else [])]
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s", handlers=handlers, force=True)
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = session()
     store, run_id = Store(spark, a.root), uuid.uuid4().hex
     chat = StubChat() if a.stub else HttpChat(env.llm_url, env.llm_model, env.llm_key, env.llm_temperature, env.llm_max_tokens, env.llm_timeout, env.llm_tries)
