@@ -16,12 +16,22 @@ Candidates: within a bucket the member that shares most buckets leads, and
 everyone is verified against the leader only; verified links give components.
 What remains are pairs of one bucket in different components. They are never
 written out: such buckets are cut by length, as partners differ by a fifth at
-most, then into blocks of `BLOCK_ROWS` members or `BLOCK_WORDS` words, and a task
-that gets two blocks finds their links itself. A text shares four fifths of its
-words with a partner, so among its rarest words all but a fifth of the text's
-number must be found there; what reaches that is aligned, unless links found so
-far already join the two. So no link is lost and no bucket is capped, and a
-group of thousands of near copies costs about one verification each.
+most. The component with most members there is set apart: what else is in the
+bucket meets its members in one group a component, not one a bucket, and only
+these others meet each other per bucket. Groups are cut into blocks of
+`BLOCK_ROWS` members or `BLOCK_WORDS` words, and a task that gets two blocks finds
+their links itself. Before a group is cut into several blocks, members are left
+out that can have no partner there: 3 of a text's u words without a counterpart
+and 2 of the partner's v break each a three-word gram, 3u + 2v is 0.6 of the
+text's n words at most, so 0.4 n - 2 of its grams must occur in others of the
+group. So a group of unlike texts that share a passage, and a group of near
+copies with some unlike ones, cost rows in proportion to their members; rows are
+repeated for blocks only where many texts of different components are that alike.
+A text shares four fifths of its words with a partner, so among its rarest words
+all but a fifth of the text's number must be found there; what reaches that is
+aligned, unless links found so far already join the two. So no link is lost and
+no bucket is capped, and a group of thousands of near copies costs about one
+verification each.
 
 Alignment compares the words themselves, bit-parallel within a band. Components
 are found by star contraction over tables. Texts are nodes by a number of their
@@ -54,6 +64,8 @@ from quillspark.llm.graph import components
 WORDS, SIMILARITY, SKETCHES, PICKS = 5, 0.8, 24, 2
 #: Members, and words, of a block of a bucket.
 BLOCK_ROWS, BLOCK_WORDS = 512, 1 << 18
+#: Words of the grams that tell which members of a large group can have a partner.
+GRAM = 3
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * _MUL)
@@ -263,9 +275,10 @@ def _rest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
     def solve(rows: pa.Table) -> pa.RecordBatch:
         nodes, roots = rows.column("node").to_pylist(), rows.column("root").to_pylist()
-        found = []
-        if len(set(roots)) > 1:
-            found = links_within(roots, [_WORD.findall(t) for t in rows.column("text").to_pylist()], rows.column("own").to_pylist(), rows.column("home").to_pylist())
+        own, found = rows.column("own").to_pylist(), []
+        halves = 2 if last[1] < 0 or last[2] != last[3] else 1
+        if len(set(roots)) > 1 and len(set(own)) == halves:
+            found = links_within(roots, [_WORD.findall(t) for t in rows.column("text").to_pylist()], own, rows.column("home").to_pylist())
         return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i, _ in found], pa.int64()), pa.array([nodes[j] for _, j in found], pa.int64())], names=["a", "b"])
 
     held: list[pa.RecordBatch] = []
@@ -297,6 +310,42 @@ def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return joined.mapInArrow(_verify_batches, "a long, b long")
 
 
+def _gram_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Grams of GRAM words of each text with the times they occur in it, beside the row's other columns."""
+    for batch in slices(batches):
+        words, at = tokenize(batch.column(batch.num_columns - 1))
+        counts = np.maximum(np.diff(at) - GRAM + 1, 0)
+        doc = np.repeat(np.arange(batch.num_rows), counts)
+        place = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts) + at[doc]
+        gram = words[place]
+        for j in range(1, GRAM):
+            gram = mix(gram * _MUL + words[place + j])
+        order = np.lexsort((gram, doc))
+        doc, gram = doc[order], gram[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (gram[1:] != gram[:-1])
+        first = np.flatnonzero(new)
+        rows, times = pa.array(doc[first]), np.diff(np.append(first, len(doc)))
+        yield pa.RecordBatch.from_arrays([*(c.take(rows) for c in batch.columns[:-1]), pa.array(gram[first].view(np.int64)), pa.array(times.astype(np.int64))], names=[*batch.schema.names[:-1], "gram", "times"])
+
+
+def _blocks(sides: DataFrame) -> DataFrame:
+    """(key, size, b0, b1): into how many blocks each side of a group is cut."""
+    cut = lambda at: F.greatest(F.ceil(F.count(F.when(at, 1)) / BLOCK_ROWS), F.ceil(F.sum(F.when(at, F.col("n")).otherwise(0)) / BLOCK_WORDS)).cast("int")
+    return sides.groupBy("key", "size").agg(cut(F.col("side") == 0).alias("b0"), cut(F.col("side") == 1).alias("b1"))
+
+
+def _partnered(crowded: DataFrame, words: DataFrame) -> DataFrame:
+    """The members of these groups that can have a partner there, by the grams that they share with others."""
+    other = F.when(F.col("size") < 0, F.col("side")).otherwise(F.col("root")).alias("other")
+    grams = crowded.join(words, "node").select("key", "size", "node", other, "text")
+    grams = materialize(grams.mapInArrow(_gram_batches, "key long, size int, node long, other long, gram long, times long"), "grams")
+    shared = grams.groupBy("key", "size", "gram").agg(F.min("other").alias("lo"), F.max("other").alias("hi")).where("lo < hi")
+    met = grams.join(shared.select("key", "size", "gram"), ["key", "size", "gram"]).groupBy("key", "size", "node").agg(F.sum("times").alias("met"))
+    enough = F.coalesce("met", F.lit(0)) >= F.col("n") * (1 - GRAM * (1 - SIMILARITY)) - (GRAM - 1) - 1e-6
+    return crowded.join(met, ["key", "size", "node"], "left").where(enough).drop("met")
+
+
 def _rest(members: DataFrame, roots: DataFrame, words: DataFrame) -> DataFrame:
     """Links (a, b) that join what shares a bucket, is alike, and is not joined yet."""
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -304,14 +353,34 @@ def _rest(members: DataFrame, roots: DataFrame, words: DataFrame) -> DataFrame:
     size = F.floor(F.log(F.greatest("n", F.lit(1))) / F.lit(math.log(1.26))).cast("int")
     places = F.explode(F.array(F.struct(size.alias("size"), F.lit(True).alias("home")), F.struct((size + 1).alias("size"), F.lit(False).alias("home"))))
     placed = materialize(placed.select("key", "node", "root", "n", places.alias("p")).select("key", "node", "root", "n", "p.size", "p.home"), "placed")
-    groups = placed.groupBy("key", "size").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("held"), F.sum("n").alias("words"), F.max("home").alias("any"))
-    blocks = F.greatest(F.ceil(F.col("held") / BLOCK_ROWS), F.ceil(F.col("words") / BLOCK_WORDS)).cast("int")
-    mixed = materialize(groups.where("lo < hi and any").select("key", "size", blocks.alias("blocks")), "mixed")
-    open_ = placed.join(mixed, ["key", "size"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    open_ = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(words, "node")
-    open_ = open_.select("key", "size", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "home", "node", "root", "text")
-    open_ = open_.repartition("key", "size", "bi", "bj").sortWithinPartitions("key", "size", "bi", "bj")
-    return materialize(open_.mapInArrow(_rest_batches, "a long, b long").distinct(), "more")
+    parts = placed.groupBy("key", "size", "root").agg(F.count("*").alias("c"), F.max("home").alias("any"))
+    groups = parts.groupBy("key", "size").agg(F.max(F.struct("c", "root")).alias("x"), F.count("*").alias("parts"), F.max("any").alias("any"))
+    mixed = materialize(groups.where("parts > 1 and any").select("key", "size", F.col("x.root").alias("top"), "parts"), "mixed")
+    others = materialize(placed.join(mixed, ["key", "size"]).where("root <> top"), "others")
+
+    # The largest component of a bucket (side 0) and what shares the bucket with it (side 1), under the component
+    # and a size below 0; and these others of each bucket among themselves.
+    flip = (-1 - F.col("size")).alias("size")
+    nodes = placed.select("size", "node", "root", "n", "home").distinct().join(mixed.select("size", F.col("top").alias("root")).distinct(), ["root", "size"], "left_semi")
+    sides = nodes.select(F.col("root").alias("key"), flip, "node", "root", "n", "home", F.lit(0).alias("side"))
+    sides = sides.union(others.select(F.col("top").alias("key"), flip, "node", "root", "n", "home", F.lit(1)).distinct())
+    sides = materialize(sides.union(others.where("parts > 2").select("key", "size", "node", "root", "n", "home", F.lit(0))), "sides")
+    large = materialize(_blocks(sides).where("b0 > 1 or b1 > 1"), "large")
+    two, none = F.col("size") < 0, F.lit(0)
+    whole = sides.join(large, ["key", "size"], "left_anti")
+    dealt = whole.select("key", "size", none.alias("bi"), none.alias("bj"), F.when(two, F.col("side")).otherwise(0).alias("own"), "home", "node", "root")
+    if not large.isEmpty():
+        crowded = materialize(sides.join(large.select("key", "size"), ["key", "size"]), "crowded")
+        cut = materialize(_partnered(crowded, words), "cut")
+        mine, theirs = F.when(F.col("side") == 0, F.col("b0")).otherwise(F.col("b1")), F.when(two & (F.col("side") == 0), F.col("b1")).otherwise(F.col("b0"))
+        cut = cut.join(_blocks(cut).where("size >= 0 or b0 > 0 and b1 > 0"), ["key", "size"]).withColumn("own", F.pmod(F.xxhash64("node"), mine).cast("int"))
+        cut = cut.withColumn("other", F.explode(F.sequence(none, theirs - 1)))
+        first = F.when(two, F.col("side") == 0).otherwise(F.col("own") <= F.col("other"))
+        bi, bj = F.when(first, F.col("own")).otherwise(F.col("other")), F.when(first, F.col("other")).otherwise(F.col("own"))
+        dealt = dealt.union(cut.select("key", "size", bi, bj, F.when(two, F.col("side")).otherwise(F.col("own")), "home", "node", "root"))
+    dealt = dealt.join(words, "node").select("key", "size", "bi", "bj", "own", "home", "node", "root", "text")
+    dealt = dealt.repartition("key", "size", "bi", "bj").sortWithinPartitions("key", "size", "bi", "bj")
+    return materialize(dealt.mapInArrow(_rest_batches, "a long, b long").distinct(), "more")
 
 
 def _classes(docs: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:

@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -418,6 +419,48 @@ def test_buckets_in_many_blocks_lose_no_link(spark, monkeypatch):
     test_classes_match_brute_force(spark)
 
 
+def dealt_rows(spark, monkeypatch, texts, roots):
+    """How many rows `_rest` deals to tasks for one bucket of these texts."""
+
+    def each(batches):
+        for batch in batches:
+            ids = pa.array(np.random.default_rng().integers(0, 2**62, batch.num_rows))
+            yield pa.RecordBatch.from_arrays([ids, ids], names=["a", "b"])
+
+    with monkeypatch.context() as m:
+        m.setattr(op6, "BLOCK_ROWS", 8)
+        m.setattr(op6, "_rest_batches", each)
+        nodes = range(len(texts))
+        members = spark.createDataFrame([(1, i, len(texts[i].split())) for i in nodes], "key long, node long, n long")
+        named = spark.createDataFrame(list(zip(nodes, roots)), "node long, root long")
+        return op6._rest(members, named, spark.createDataFrame(list(zip(nodes, texts)), "node long, text string")).count()
+
+
+def test_rows_dealt_grow_with_a_group_not_with_its_square(spark, monkeypatch):
+    rng = random.Random(5)
+    prose = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    base, passage = prose(60), prose(10)
+    near = [" ".join([*base[:i], "changed", *base[i + 1 :]]) for i in range(60)] + [" ".join([*base[:45], *prose(15)]) for _ in range(4)]
+    near = near * 4  # 240 of one component, 16 others that are much like them
+    roots = [0 if i % 64 < 60 else i for i in range(len(near))]
+    assert dealt_rows(spark, monkeypatch, near, roots) <= 6 * len(near)
+    unlike = [" ".join([*prose(25), *passage, *prose(25)]) for _ in range(240)]
+    assert dealt_rows(spark, monkeypatch, unlike, list(range(240))) <= 2 * len(unlike)
+
+
+def test_grams_leave_no_partner_out(spark):
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(45)]
+    texts = [base, base[:36], [w for i, w in enumerate(base) if i % 5], [f"x{i}" if i % 9 == 4 else w for i, w in enumerate(base)]]
+    texts += [[w for i, w in enumerate(base) if i not in (out := rng.sample(range(45), 5))] + [f"y{i}" for i in range(4)] for _ in range(20)]
+    pairs = [(a, b) for a, b in itertools.combinations(texts, 2) if op6.alignment(a, b) >= 0.8]
+    assert len(pairs) > 10
+    rows = [(k, 7, 2 * k + s, 2 * k + s, len(t), True, 0) for k, p in enumerate(pairs) for s, t in enumerate(p)]
+    crowded = spark.createDataFrame(rows, "key long, size int, node long, root long, n long, home boolean, side int")
+    words = spark.createDataFrame([(2 * k + s, " ".join(t)) for k, p in enumerate(pairs) for s, t in enumerate(p)], "node long, text string")
+    assert op6._partnered(crowded, words).count() == len(rows)
+
+
 def test_documents_that_share_an_id_are_kept_apart(spark):
     texts = [PROSE, "quite another text of its own about stars and moons and suns and seas", PROSE + " end", PROSE]
     rows = [(7, *r[1:]) for r in rows_of(*texts)] + [(None, *r[1:]) for r in rows_of("lone text without id", PROSE + " end")] * 2
