@@ -21,7 +21,9 @@ log p, log of the back-off weight of each retained context, and for each kept
 (s, w) log of p(w | s) / (weight of s * p(w | suffix of s)). So a text's score
 is the sum of one value per gram in it, found by a join per (row, gram).
 Frequent keys are broadcast (`HOT_ROWS` of them at most), which keeps hot keys out of
-the join. Bitmaps of fixed size spare lookups that would fail.
+the join. Bitmaps of fixed size spare lookups that would fail; that of the last
+join holds only longer grams that are not broadcast, not the many rare tokens, so
+grams that the tree does not have stay out of it.
 
 Texts are read once per level and twice more, in Arrow batches, and never
 shuffled. Tables of a level are removed once the next has been written.
@@ -111,8 +113,8 @@ def _find(values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(values[at] == x, at, _NONE)
 
 
-def _hot(counted: DataFrame) -> DataFrame:
-    """The entries that are broadcast: those from HOT_COUNT up, or from the least count that leaves HOT_ROWS at most."""
+def _cut(counted: DataFrame) -> int:
+    """The least count of the entries that are broadcast: HOT_COUNT, or the least that leaves HOT_ROWS at most."""
     # Counts up to 4,095 by themselves, larger ones by powers of two: a few thousand rows go to the driver.
     step = F.when(F.col("n") < 4096, F.col("n")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("n"))).cast("long")).alias("step")
     cut, held = 2**62, 0
@@ -121,7 +123,7 @@ def _hot(counted: DataFrame) -> DataFrame:
         if held > HOT_ROWS:
             break
         cut = r["step"]
-    return counted.where(F.col("n") >= cut)
+    return cut
 
 
 class _Places:
@@ -324,8 +326,10 @@ def train(texts: DataFrame) -> tuple[int, int, int, np.ndarray, DataFrame]:
     counts = materialize(_counted(texts), "tokens")
     whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     total, vocabulary = int(whole["n"] or 0), int(whole["v"])
-    frequent = np.sort(_hot(counts.where(F.col("n") >= LEAST_COUNT)).select("token").toArrow().column("token").to_numpy().view(np.uint64))
+    candidates = counts.where(F.col("n") >= LEAST_COUNT)
+    frequent = np.sort(candidates.where(F.col("n") >= _cut(candidates)).select("token").toArrow().column("token").to_numpy().view(np.uint64))
     shared = spark.sparkContext.broadcast(frequent)
+    release(spark)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = _Places(shared.value)
@@ -374,25 +378,31 @@ def score_documents(docs: DataFrame) -> DataFrame:
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), (fold == HELD).alias("held_out"), text_or_empty().alias("text"))
     total, vocabulary, depth, frequent, model = train(rows.where(~F.col("held_out")).select("text"))
-    hot = _hot(model).toArrow()  # HOT_ROWS rows at most
+    cut = _cut(model)
+    hot = model.where(F.col("n") >= cut).toArrow()  # HOT_ROWS rows at most
     keys = hot.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    shared = spark.sparkContext.broadcast((frequent, keys[order], *(hot.column(c).to_numpy()[order] for c in ("base", "value", "seen")), _filter(model.select("key"))))
+    longer = model.where("seen = 0")
+    bitmaps = _filter(longer.select("key")), _filter(longer.where(F.col("n") < cut).select("key"))
+    shared = spark.sparkContext.broadcast((frequent, keys[order], *(hot.column(c).to_numpy()[order] for c in ("base", "value", "seen")), *bitmaps))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, keys, base_of, value_of, seen_of, bitmap = shared.value
+        frequent, keys, base_of, value_of, seen_of, longer, cold = shared.value
         frequent, keys = _Places(frequent), _Places(keys)
         for batch in slices(batches):
             hashes, at = _tokens(batch.column(3))
             sums, rare, docs = np.zeros((3, len(hashes))), [], []
             of = np.repeat(np.arange(batch.num_rows), np.diff(at))
-            for gram in _grams(_codes(hashes, frequent), at, depth):
-                left = np.flatnonzero((gram != 0) & _holds(bitmap, gram))
+            # Tokens that are not broadcast are looked up, all of them; longer grams only where some of them are not broadcast.
+            for d, gram in enumerate(_grams(_codes(hashes, frequent), at, depth)):
+                left = np.flatnonzero((gram != 0) & _holds(longer, gram)) if d else np.arange(len(gram))
                 place = keys.find(gram[left])
                 found = place >= 0
                 for i, column in enumerate((base_of, value_of, seen_of)):
                     sums[i, left[found]] += column[place[found]]
                 left = left[~found]
+                if d:
+                    left = left[_holds(cold, gram[left])]
                 rare.append(gram[left])
                 docs.append(of[left])
             token, doc = np.concatenate(rare), np.concatenate(docs)

@@ -889,6 +889,17 @@ def test_tree_matches_brute_force_whatever_is_frequent(spark, monkeypatch):
         assert all(got[i] == pytest.approx(score(t)) for i, t in enumerate(texts, 1))
 
 
+def test_only_rare_tokens_are_looked_up_where_all_grams_are_broadcast(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join([f"a{rng.randint(0, 9)}" for _ in range(60)] + [f"r{i}"]) for i in range(120)]
+    made = {}
+    monkeypatch.setattr(op10, "FILTER_BITS", (6, 6))  # full of whatever it is given
+    monkeypatch.setattr(op10, "materialize", lambda df, name, f=op10.materialize: made.setdefault(name, f(df, name)) if name == "scored" else f(df, name))
+    got = op10.score_documents(spark.createDataFrame(rows_of(*texts), SCHEMA)).collect()
+    assert len(got) == 120 and all(r["n_tokens"] == 62 for r in got)
+    assert sum(sum(r["times"]) for r in made["scored"].collect()) == 120
+
+
 def test_distributions_sum_to_one(monkeypatch):
     monkeypatch.setattr(op10, "LEAST_CONTEXT", 16)
     monkeypatch.setattr(op10, "LEAST_COUNT", 2)
