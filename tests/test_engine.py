@@ -17,6 +17,7 @@ from quillspark.operators import attempts
 from quillspark.plans import judge, reports
 from quillspark.plans.domains import Domains
 from quillspark.plans.generate import Generator, Progress, _draft_of, _gate
+from quillspark.queries import QUERIES
 from quillspark.sources.llm import ChatError, HttpChat, HttpEmbedder, StubChat, hash_embedder
 from quillspark.sources.store import Store, decode_vector, encode_vector, question_mirror, read_csv, write_csv
 from quillspark.streaming.memory_stream import stream_memory
@@ -87,6 +88,18 @@ def test_streaming_runs_once(spark, tmp_path):
     assert got == {1: False, 2: True, 3: False, 4: True, 5: False}
 
 
+def test_streaming_of_a_table_of_any_form(spark, tmp_path):
+    """A table is a folder of files or one file, and may be empty."""
+    rows = spark.createDataFrame([(1, "Ab c"), (2, "ab  C"), (3, "x")], "doc_id long, text string")
+    rows.repartition(2).write.parquet(str(tmp_path / "folder/documents.parquet"))
+    rows.where("doc_id < 0").write.parquet(str(tmp_path / "none/documents.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "parts"))
+    (tmp_path / "file").mkdir()
+    next((tmp_path / "parts").glob("part-*")).rename(tmp_path / "file/documents.parquet")
+    for form, want in (("folder", {1: False, 2: True, 3: False}), ("file", {1: False, 2: True, 3: False}), ("none", {})):
+        assert {r["doc_id"]: r["duplicate"] for r in QUERIES["streaming_memory"](spark, str(tmp_path / form)).collect()} == want
+
+
 def test_settings_from_environment():
     s = Settings.from_env({"QUILL_BATCH_SIZE": "7", "QUILL_MEMORY_ENABLED": "false"})
     assert s.batch_size == 7 and s.memory_enabled is False
