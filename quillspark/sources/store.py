@@ -133,14 +133,31 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/quillspark/{name}-{uuid.uuid4().hex}"
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """df, written to a fresh path and read again: for what is costly and used more than once."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+#: What the reader takes a field for that is empty and not quoted. It must differ from any text, so it is made of noncharacters.
+_NO_TEXT = "\ufffe\uffff\ufffe"
+_CSV = {"header": True, "escape": '"', "charToEscapeQuoteEscaping": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str, headers: list[str], mode: str = "append") -> None:
-    """Mirror of some columns; further columns of df are ignored."""
+    """Mirror of some columns; further columns of df are ignored.
+
+    Texts are kept to the letter: a null is an empty field, an empty text a pair of
+    quotes. In a mirror of one column that would be an empty line, which readers
+    skip, so there a null is `_NO_TEXT`.
+    """
     flat = [F.col(h).cast("string").alias(h) if isinstance(df.schema[h].dataType, (T.ArrayType, T.StructType, T.MapType)) else F.col(h) for h in headers]
-    df.select(*flat).write.mode(mode).option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    df.select(*flat).write.mode(mode).options(**_CSV, nullValue="" if len(headers) > 1 else _NO_TEXT, emptyValue='""').csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    return spark.read.schema(schema).options(**_CSV, multiLine=True, nullValue=_NO_TEXT, emptyValue="").csv(path)
 
 
 def question_mirror(questions: DataFrame, personas: DataFrame) -> DataFrame:

@@ -76,6 +76,16 @@ def test_csv_and_vectors(run, spark, tmp_path):
     assert v.select(decode_vector(encode_vector("v")).alias("v")).collect() == v.collect()
 
 
+def test_csv_keeps_texts_to_the_letter(spark, tmp_path):
+    odd = [None, "", " ", "  a", "a  ", "\ta", "a\n", "\n", "\r", "a\r\nb", "\x00", '\x00"', '"\x00', '"', '""', "a,b", "\\", '\\"\n', "\\N", "null", "#x"]
+    df = spark.createDataFrame([(i, x, x, None if i % 2 else i) for i, x in enumerate(odd)], "i long, a string, b string, n long")
+    write_csv(df, str(tmp_path / "csv"), df.columns)
+    assert read_csv(spark, str(tmp_path / "csv"), df.schema).orderBy("i").collect() == df.orderBy("i").collect()
+    alone = df.select("a")
+    write_csv(alone, str(tmp_path / "alone"), ["a"])
+    assert sorted(map(repr, read_csv(spark, str(tmp_path / "alone"), alone.schema).collect())) == sorted(map(repr, alone.collect()))
+
+
 def test_streaming_runs_once(spark, tmp_path):
     src = str(tmp_path / "src")
     spark.createDataFrame([(1, "Ab c"), (2, "ab  C"), (3, "x")], "doc_id long, text string").coalesce(1).write.parquet(src)
