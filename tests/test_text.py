@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import re
+import unicodedata
 
 import pytest
 from hypothesis import given, settings
@@ -144,6 +146,16 @@ def test_nfkc_leaves_ascii_alone(spark):
     assert [r["x"] for r in got] == ["NID", "plain", None, ""]
 
 
+def test_hashes_need_no_python(spark):
+    """Whole texts in Arrow batches filled the Python workers; results are those of unicodedata."""
+    texts = ["ﬁ x", "e\u0301", "Å", "①²", "ড\u09bc", "한", "ㅎㅏㄴ", "ｶﾞ", "\u1e9b\u0323", "😀 ﷺ", "q\u0323\u0307\u0301", "\x00é"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.nfkc(F.col("t")).alias("x"), tx.dedup_hash(F.col("t")).alias("h"), tx.opener(F.col("t")).alias("o"))
+    assert "Python" not in df._jdf.queryExecution().toString()
+    for r in df.collect():
+        assert r["x"] == unicodedata.normalize("NFKC", r["t"])
+        assert r["h"] == hashlib.sha1(re.sub(r"[^\u0980-\u09ffa-z0-9]+", " ", r["x"].lower()).strip().encode()).hexdigest()
+
+
 def test_domains_from_json():
     from quillspark.plans.domains import Domains
 
