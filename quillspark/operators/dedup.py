@@ -13,7 +13,8 @@ def exact_duplicates(df: DataFrame, hash_col: str, order: list[str], scope: list
     """df with `duplicate`: an earlier row of the same scope has the same hash.
 
     Computed from the least order key per hash, so a hash that a third of the
-    rows share costs one partial aggregate and a join, not one sorted task.
+    rows share costs one partial aggregate and a join, not one sorted task. df is
+    read twice: save it first if its hashes are yet to be computed.
     """
     keys = [*(scope or []), hash_col]
     first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__first"))

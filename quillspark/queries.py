@@ -15,7 +15,7 @@ from quillspark.functions import text as tx
 from quillspark.operators import attempts, dedup, memory
 from quillspark.plans import prompts, reports
 from quillspark.plans.domains import TOPIC_CATEGORY, Domains
-from quillspark.sources.store import read_csv, scratch, write_csv
+from quillspark.sources.store import read_csv, saved, scratch, write_csv
 from quillspark.streaming.memory_stream import stream_memory
 
 _LATIN = "a-z"
@@ -46,9 +46,7 @@ def _memory(spark, sf_dir) -> DataFrame:
 
 def _saved_memory(spark, sf_dir) -> DataFrame:
     """The memory table, written once: its readers join it to itself several times."""
-    path = scratch(spark, "memory")
-    _memory(spark, sf_dir).write.parquet(path)
-    return spark.read.parquet(path)
+    return saved(_memory(spark, sf_dir), "memory")
 
 
 def worst_cohorts(spark, sf_dir, least=20):
@@ -105,7 +103,7 @@ def hash_duplicate_rate(spark, sf_dir):
 
 def exact_dup_flags(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents").select("doc_id", tx.dedup_hash(F.col("text")).alias("dedup_hash"))
-    return dedup.exact_duplicates(docs, "dedup_hash", ["doc_id"])
+    return dedup.exact_duplicates(saved(docs, "hashes"), "dedup_hash", ["doc_id"])
 
 
 def opener_diversity(spark, sf_dir):

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quillspark.functions.text import dedup_hash, opener
 from quillspark.operators.dedup import exact_duplicates
+from quillspark.sources.store import saved
 
 
 def stream_memory(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, id_col: str = "doc_id", text_col: str = "text", glob: str | None = None) -> StreamingQuery:
@@ -34,7 +35,7 @@ def stream_memory(spark: SparkSession, source: str, schema: str, target: str, ch
     def commit(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
         fresh = batch.select(id_col, dedup_hash(F.col(text_col)).alias("dedup_hash"), opener(F.col(text_col)).alias("opener"))
-        fresh = exact_duplicates(fresh, "dedup_hash", [id_col])
+        fresh = exact_duplicates(saved(fresh, "fresh"), "dedup_hash", [id_col])
         if batch_id > 0:
             seen = s.read.schema("dedup_hash string, _batch long").parquet(target).where(F.col("_batch") < batch_id).select("dedup_hash").distinct().withColumn("__seen", F.lit(True))
             fresh = fresh.join(seen, "dedup_hash", "left").withColumn("duplicate", F.col("duplicate") | F.coalesce("__seen", F.lit(False))).drop("__seen")

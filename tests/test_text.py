@@ -156,6 +156,14 @@ def test_hashes_need_no_python(spark):
         assert r["h"] == hashlib.sha1(re.sub(r"[^\u0980-\u09ffa-z0-9]+", " ", r["x"].lower()).strip().encode()).hexdigest()
 
 
+def test_texts_are_hashed_once(spark, sf_dir):
+    from quillspark.queries import QUERIES
+
+    for name in ("exact_dup_flags",):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "documents.parquet" not in plan and "sha1" not in plan.lower()
+
+
 def test_domains_from_json():
     from quillspark.plans.domains import Domains
 
