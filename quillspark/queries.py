@@ -189,9 +189,10 @@ def parse_quality_replies(spark, sf_dir):
 
 
 def quality_score(spark, sf_dir):
-    rows = exact_dup_flags(spark, sf_dir).join(_t(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").join(_t(spark, sf_dir, "labels"), "doc_id", "left")
+    docs = _t(spark, sf_dir, "documents").select("doc_id", tx.dedup_hash(F.col("text")).alias("dedup_hash"), F.round(tx.script_ratio(F.col("text"), _LATIN), 6).alias("ratio"))
+    rows = dedup.exact_duplicates(saved(docs, "scored"), "dedup_hash", ["doc_id"]).join(_t(spark, sf_dir, "labels"), "doc_id", "left")
     verdict = F.when(F.col("quality") == 1, "PASS").when(F.col("quality") == 0, "FAIL")
-    return rows.select("doc_id", F.round(tx.quality_score(verdict, F.round(tx.script_ratio(F.col("text"), _LATIN), 6), F.col("duplicate")), 6).alias("score"))
+    return rows.select("doc_id", F.round(tx.quality_score(verdict, F.col("ratio"), F.col("duplicate")), 6).alias("score"))
 
 
 def best_attempt(spark, sf_dir):

@@ -159,7 +159,7 @@ def test_hashes_need_no_python(spark):
 def test_texts_are_hashed_once(spark, sf_dir):
     from quillspark.queries import QUERIES
 
-    for name in ("exact_dup_flags",):
+    for name in ("exact_dup_flags", "quality_score"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "documents.parquet" not in plan and "sha1" not in plan.lower()
 
