@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import dot
-from quillspark.sources.store import scratch
+from quillspark.sources.store import saved, scratch
 
 
 def exact_duplicates(df: DataFrame, hash_col: str, order: list[str], scope: list[str] | None = None) -> DataFrame:
@@ -58,11 +63,79 @@ def near_duplicates(rows: DataFrame, cluster: list[str], seq: str, vec: str, thr
     return rows.join(hits, seq, "left").withColumn("near_dup", F.coalesce("near_dup", F.lit(False)))
 
 
-def similar_pairs(rows: DataFrame, cluster: list[str], seq: str, vec: str, threshold: float) -> DataFrame:
-    """(first, second, similarity) of the pairs of a cluster at or above the threshold."""
-    a = rows.select(*cluster, F.col(seq).alias("first"), F.col(vec).alias("__a"))
-    b = rows.select(*cluster, F.col(seq).alias("second"), F.col(vec).alias("__b"))
-    return a.join(b, cluster).where(F.col("first") < F.col("second")).withColumn("similarity", dot(F.col("__a"), F.col("__b"))).where(F.col("similarity") >= threshold).select(*cluster, "first", "second", "similarity")
+def similar_pairs(rows: DataFrame, cluster: list[str], seq: str, vec: str, threshold: float, block: int = 8192) -> DataFrame:
+    """(first, second, similarity) of the pairs of a cluster at or above the threshold.
+
+    All pairs are met. A cluster is dealt into blocks of about `block` rows, at
+    random and written down, so rows that repeat are spread too; two blocks make
+    a group, whose candidates come from a matrix product and are then summed up
+    as `dot` does. A group holds 2 * `block` vectors and slices of the rest.
+    """
+    live = rows.where(F.col(seq).isNotNull() & F.col(vec).isNotNull())
+    cells = [F.col(c).alias(f"__c{i}") for i, c in enumerate(cluster)]
+    keys = [f"__c{i}" for i in range(len(cluster))]
+    slim = live.select(*cells, F.col(seq).alias("first"), F.col(vec).cast("array<double>").alias("__v"))
+    blocks = slim.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("__blocks"))
+    placed = saved(slim.join(blocks, keys).withColumn("__block", F.floor(F.rand(7) * F.col("__blocks")).cast("int")), "blocks")
+    met = placed.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
+    met = met.select(*keys, F.least("__block", "__other").alias("__i"), F.greatest("__block", "__other").alias("__j"), "__block", "first", "__v")
+    types = {f.name: f.dataType.simpleString() for f in slim.schema.fields}
+    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), f"first {types['first']}", f"second {types['first']}", "similarity double"])
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).combine_chunks()
+        lists = table.column("__v").combine_chunks()
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        whole = np.ones(len(lists), bool)
+        if lists.values.null_count:  # a product with null is null
+            whole = ~np.array(pc.is_in(pa.array(np.arange(len(lists))), pc.list_parent_indices(lists).filter(pc.is_null(lists.flatten()))))
+        rank = pc.rank(table.column("first"), tiebreaker="dense").to_numpy()
+        own, low = table.column("__block").to_numpy(), table.column("__i")[0].as_py()
+        same = low == table.column("__j")[0].as_py()
+        for dim in np.unique(sizes[whole]).tolist():  # vectors of different lengths have no product
+            at = np.flatnonzero(whole & (sizes == dim))
+            x = lists.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), dim)
+            left = at == at if same else own[at] == low
+            right = left if same else ~left
+            for a, b, s in _close(x[left], rank[at[left]], x[right], rank[at[right]], threshold, same):
+                a, b = at[left][a], at[right][b]
+                swap = rank[a] > rank[b]
+                first, second = pa.array(np.where(swap, b, a)), pa.array(np.where(swap, a, b))
+                columns = [table.column(k).take(first).combine_chunks() for k in keys] + [table.column("first").take(i).combine_chunks() for i in (first, second)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(s)], names=[*keys, "first", "second", "similarity"])
+
+    found = met.groupBy(*keys, "__i", "__j").applyInArrow(solve, schema)
+    return found.select(*[F.col(k).alias(c) for k, c in zip(keys, cluster)], "first", "second", "similarity")
+
+
+def _close(x: np.ndarray, xr: np.ndarray, y: np.ndarray, yr: np.ndarray, threshold: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places in x, places in y, product) at or above the threshold (NaN is above all), but of equal ranks; of x with itself each pair once.
+
+    The matrix product only rules pairs out, by more than both sums can err:
+    which pairs stay is settled by sums from left to right.
+    """
+    if not len(x) or not len(y):
+        return
+    dim, step = x.shape[1], max(1, 2**22 // len(y))
+    with np.errstate(all="ignore"):
+        xn, yn = np.sqrt((x * x).sum(1)), np.sqrt((y * y).sum(1))
+        sure = np.isfinite(yn)
+        err = 4 * (dim + 2) * np.finfo(float).eps * (xn * yn[sure].max(initial=0.0)) + np.finfo(float).tiny
+        xt, yt = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
+        for at in range(0, len(x), step):
+            keep = ~(x[at : at + step] @ yt < (threshold - err[at : at + step])[:, None])
+            keep |= ~sure[None, :]
+            ranks = xr[at : at + step][:, None]
+            keep &= ranks < yr[None, :] if same else ranks != yr[None, :]
+            a, b = np.nonzero(keep)
+            for i in range(0, len(a), 2**18):
+                p, q = a[i : i + 2**18] + at, b[i : i + 2**18]
+                s = np.zeros(len(p))
+                for d in range(dim):
+                    s += xt[d][p] * yt[d][q]
+                hit = (s >= threshold) | np.isnan(s)
+                if hit.any():
+                    yield p[hit], q[hit], s[hit]
 
 
 def mean_pairwise_cosine(rows: DataFrame, cluster: list[str], vec: str, dim: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quillspark import schemas
 from quillspark.functions import sampling
+from quillspark.functions import text as tx
 from quillspark.operators import attempts, dedup, memory
 from quillspark.plans import reports
 from quillspark.plans.domains import TOPIC_CATEGORY, Domains
@@ -132,6 +133,30 @@ def test_near_duplicates_match_brute_force(spark):
         assert got[i] == (v is not None and any(w is not None and v[0] * w[0] + v[1] * w[1] >= 0.96 for w in before))
 
 
+def test_similar_pairs_match_brute_force(spark):
+    """Blocks of all sizes, repeated ids, ties with the threshold, nulls, NaN and vectors of other lengths."""
+    rng = random.Random(3)
+    draw = lambda: [rng.choice([0.1, 0.3, 0.7, -0.2]) for _ in range(3)]
+    odd = [None, [0.5, None, 0.5], [0.5, 0.5], [], [float("nan"), 0.1, 0.1], [1e300, 1e300, 1e300], [float("inf"), 0.0, 0.1]]
+    rows = [(rng.choice(["a", "a", "b", None]), rng.randint(0, 50), odd[i] if i < len(odd) else draw()) for i in range(70)]
+    df = spark.createDataFrame(rows, "c string, seq long, vec array<double>")
+    cut = 0.1 * 0.3 + 0.3 * 0.7 + 0.7 * 0.7
+    a, b = df.selectExpr("c", "seq first", "vec a"), df.selectExpr("c", "seq second", "vec b")
+    want = a.join(b, "c").where("first < second").withColumn("similarity", tx.dot(F.col("a"), F.col("b"))).where(F.col("similarity") >= cut).select("c", "first", "second", "similarity")
+    want = sorted(map(repr, want.collect()))
+    assert len(want) > 50
+    for block in (4, 30, 1000):
+        got = dedup.similar_pairs(df, ["c"], "seq", "vec", cut, block)
+        assert sorted(map(repr, got.collect())) == want
+
+
+def test_similar_pairs_are_not_joined(spark):
+    """The pairs of a cluster were the rows of a join; now a task meets two blocks."""
+    df = spark.createDataFrame([("a", i, [1.0]) for i in range(9)], "c string, seq long, vec array<double>")
+    got = dedup.similar_pairs(df, ["c"], "seq", "vec", 0.5, 2)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString() and got.count() == 36
+
+
 def test_exact_duplicates_by_run(spark):
     df = spark.createDataFrame([(1, "x", "a"), (2, "x", "a"), (3, "y", "a"), (4, "x", None)], "i long, run string, h string")
     got = {r["i"]: r["duplicate"] for r in dedup.exact_duplicates(df, "h", ["i"], ["run"]).collect()}
