@@ -323,7 +323,7 @@ def streaming_memory(spark, sf_dir):
     """Documents as a stream, each micro-batch compared to what earlier ones stored."""
     out, schema = scratch(spark, "stream"), _t(spark, sf_dir, "documents").schema
     stream_memory(spark, f"{sf_dir}/documents.parquet", schema, out, scratch(spark, "offsets")).awaitTermination()
-    return spark.read.schema(f"doc_id {schema['doc_id'].dataType.simpleString()}, dedup_hash string, duplicate boolean").parquet(out)
+    return spark.read.schema(f"doc_id {schema['doc_id'].dataType.simpleString()}, dedup_hash string, duplicate boolean").parquet(out).select("doc_id", "dedup_hash", "duplicate")
 
 
 def memory_context(spark, sf_dir):
